@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import splits
 from ..registry import Tables, query
 
@@ -20,5 +22,5 @@ from ..registry import Tables, query
     FROM f""",
 )
 def park_factor(t: Tables):
-    games = t.orders.join(t.customer, t.orders.o_custkey == t.customer.c_custkey).join(t.nation, t.customer.c_nationkey == t.nation.n_nationkey, "left")
+    games = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return splits.park_factor(games, "n_name", "o_totalprice")
