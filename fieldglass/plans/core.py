@@ -9,7 +9,6 @@ from ..functions.ratios import num, ratio
 from ..operators import basics, retrieval, standings
 from ..registry import Tables, query
 
-YEAR = F.year("o_orderdate")
 DEC = "decimal(18,4)"
 
 
@@ -122,13 +121,13 @@ def j16(t: Tables):
     "a01_batting_season_bulk",
     """SELECT l_partkey AS player_id, year(o_orderdate) AS season, count(*) AS games, CAST(sum(CAST(l_quantity AS DECIMAL(18,4))) AS DOUBLE) AS at_bats,
         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE) AS hits,
-        round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE) / CAST(sum(CAST(l_quantity AS DECIMAL(18,4))) AS DOUBLE), 6) AS avg
+        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE) / CAST(sum(CAST(l_quantity AS DECIMAL(18,4))) AS DOUBLE) AS avg
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""",
 )
 def a01(t: Tables):
     j = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    g = j.groupBy(F.col("l_partkey").alias("player_id"), YEAR.alias("season")).agg(F.count("*").alias("games"), F.sum(num("l_quantity").cast(DEC)).cast("double").alias("at_bats"), F.sum(num("l_extendedprice").cast(DEC)).cast("double").alias("hits"))
-    return g.withColumn("avg", ratio(F.col("hits"), F.col("at_bats"), 6))
+    g = j.groupBy(F.col("l_partkey").alias("player_id"), F.year("o_orderdate").alias("season")).agg(F.count("*").alias("games"), F.sum(num("l_quantity").cast(DEC)).cast("double").alias("at_bats"), F.sum(num("l_extendedprice").cast(DEC)).cast("double").alias("hits"))
+    return g.withColumn("avg", ratio(F.col("hits"), F.col("at_bats")))
 
 
 @query(
@@ -193,7 +192,7 @@ def a40(t: Tables):
 
 @query("a42_qualifiers", "SELECT year(o_orderdate) AS season, count(DISTINCT CAST(o_orderdate AS DATE)) AS games, greatest(CAST(floor(least(count(DISTINCT CAST(o_orderdate AS DATE)), 144) * 31 / 10) AS BIGINT), 30) AS min_pa FROM orders GROUP BY 1")
 def a42(t: Tables):
-    g = t.orders.groupBy(YEAR.alias("season")).agg(F.count_distinct(F.to_date("o_orderdate")).alias("games"))
+    g = t.orders.groupBy(F.year("o_orderdate").alias("season")).agg(F.count_distinct(F.to_date("o_orderdate")).alias("games"))
     return g.withColumn("min_pa", F.greatest(F.floor(F.least("games", F.lit(144)) * 31 / 10), F.lit(30)).cast("long"))
 
 
