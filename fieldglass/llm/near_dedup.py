@@ -11,8 +11,10 @@
 3. Connected components of confirmed links by alternating large-star and
    small-star, each step a group minimum and a join, cut by checkpoint().
 4. Stars may miss a link between two members of a bucket that both fail against
-   the least one.  Buckets that still hold several components therefore go
-   through a second round: their members are compared signature by signature
+   the least one.  Buckets that still hold several components form stars around
+   members drawn by hash, a few rounds long, which joins what is left of large
+   groups of copies.  Buckets that even then hold several components go through
+   a last round: their members are compared signature by signature
    inside tasks (large buckets in pairs of blocks of bounded size, one task
    each); pairs that lie in different components and pass the signature are
    confirmed on the full sets, and components are formed once more.
@@ -37,6 +39,8 @@ from .grams import U, Words, _stream, mix, slices, strings
 _FEATURES = "doc_id long, n long, set binary, keys array<long>, signature binary"
 _MINIMA, _BANDS, _ROWS = 192, 32, 4
 _BLOCK = 1024
+#: Rounds of stars around drawn members before members are compared one by one.
+_TURNS = 2
 
 
 @lru_cache(1)
@@ -127,10 +131,41 @@ def _passing(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
+def _maybe_in(docs: DataFrame, ids: DataFrame, bits: int = 26) -> DataFrame:
+    """Rows whose doc_id may be in ``ids``, before texts are shuffled.
+
+    A bitmap of 2**bits hash places (8 MB at 26, whatever the input) goes to every
+    task.  It only ever lets too much through; the join that follows is exact.
+    """
+    spark = docs.sparkSession
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+
+    def fill(t: pa.Table) -> pa.Table:
+        field = np.zeros(1 << 16, np.uint8)
+        field[t.column("at").to_numpy() & 0xFFFF] = 1
+        return pa.table({"part": pa.array([t.column("part")[0].as_py()], pa.int32()), "field": pa.array([np.packbits(field).tobytes()], pa.binary())})
+
+    at = ids.select(place(F.col("doc_id")).alias("at")).select("at", F.shiftright("at", 16).cast("int").alias("part"))
+    fields = at.groupBy("part").applyInArrow(fill, "part int, field binary").collect()  # 2**(bits - 16) rows of 8 KB at most
+    full = np.zeros(1 << (bits - 3), np.uint8)
+    for r in fields:
+        full[r.part << 13 : (r.part + 1) << 13] = np.frombuffer(r.field, np.uint8)
+    sent = spark.sparkContext.broadcast(full.tobytes())
+
+    def keep(batches):
+        field = np.frombuffer(sent.value, np.uint8)
+        for b in batches:
+            i = b.column("at").to_numpy()
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text")], ["doc_id", "text"]).filter(pa.array((field[i >> 3] >> (7 - (i & 7)).astype(np.uint8)) & 1 == 1))
+
+    return docs.where("doc_id is not null").select("doc_id", "text", place(F.col("doc_id")).alias("at")).mapInArrow(keep, "doc_id long, text string")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """Of pairs (a, b) those linked on the full sets of their whole texts."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    some = _maybe_in(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), ids)
+    texts = written(some.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
     side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
 
@@ -173,20 +208,50 @@ def components(links: DataFrame) -> DataFrame:
         state = seen
 
 
-def _crossing(members: DataFrame, reps: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one bucket that lie in different components and pass sizes and signatures."""
+def _more_stars(members: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
+    """In each bucket that holds several components: its members with one of them drawn by hash, across components."""
+    at = members.select("key", "rep").join(parts.select(F.col("node").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
+    hubs = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by(F.struct("rep", "root"), F.xxhash64("key", "rep", F.lit(turn))).alias("h")).where("lo <> hi")
+    out = at.join(hubs.select("key", F.col("h.rep").alias("hub"), F.col("h.root").alias("hub_root")), "key").where("root <> hub_root")
+    return out.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
+
+
+def _short_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(rep, short): the low 32 bits of each shingle hash of the documents named."""
+    some = _maybe_in(docs, ids.select(F.col("rep").alias("doc_id"))).join(ids.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
+
+    def run(batches):
+        for b in batches:
+            for i, j in slices(b.column("text"), 2 << 20):
+                part = b.slice(i, j - i)
+                sets = [np.unique((x & U(0xFFFFFFFF)).astype("<u4")).tobytes() for x in shingles(part.column("text"), size)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["rep", "short"])
+
+    return some.select("doc_id", "text").mapInArrow(run, "rep long, short binary").groupBy("rep").agg(F.first("short").alias("short"))
+
+
+def _crossing(members: DataFrame, reps: DataFrame, parts: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """Pairs of members of one bucket that lie in different components and may be linked.
+
+    Sizes, signatures and then the low bits of all shingle hashes are compared in
+    the task, which lets through every link and next to nothing else; only such
+    pairs become rows.
+    """
     floor = _estimate_floor(percent / 100)
     at = members.join(parts.select(F.col("node").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
     split = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("key", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    rows = at.join(split, "key").withColumn("block", own).join(reps.select("rep", "n", "signature"), "rep")
-    rows = rows.select("key", "rep", "root", "n", "signature", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).select("key", "i", "j", "block", "rep", "root", "n", "signature")
+    rows = written(at.join(split, "key").withColumn("block", own), "unresolved")
+    short = _short_sets(docs, written(rows.select("rep").distinct(), "ids"), size)
+    rows = rows.join(reps.select("rep", "n", "signature"), "rep").join(short, "rep")
+    rows = rows.select("key", "rep", "root", "n", "signature", "short", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).select("key", "i", "j", "block", "rep", "root", "n", "signature", "short")
 
     def compare(t: pa.Table) -> pa.Table:
         rep, root, n, block = (t.column(c).to_numpy() for c in ("rep", "root", "n", "block"))
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         s = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(-1, _MINIMA)
+        short = [np.frombuffer(x, "<u4") for x in t.column("short").to_pylist()]
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         a, b = [], []
         for x in left:
@@ -195,6 +260,9 @@ def _crossing(members: DataFrame, reps: DataFrame, parts: DataFrame, percent: in
                 to = to[rep[to] > rep[x]]
             if len(to):
                 to = to[(s[to] == s[x]).sum(1) >= floor]
+                both = np.array([len(np.intersect1d(short[x], short[y], assume_unique=True)) for y in to], np.int64)
+                both += n[x] - len(short[x])  # what the low bits cannot tell apart counts as common
+                to = to[100 * both >= percent * (n[to] + n[x] - both)]
                 a.append(np.minimum(rep[to], rep[x]))
                 b.append(np.maximum(rep[to], rep[x]))
         none = np.zeros(0, np.int64)
@@ -224,7 +292,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     stars = members.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     links = written(_confirmed(written(_passing(stars, reps, percent), "stars"), own, percent, size), "links")
     parts = components(links)
-    more = written(_crossing(members.select("key", "rep"), reps, parts, percent).join(stars, ["a", "b"], "left_anti"), "crossing")
+    tried = stars
+    for turn in range(_TURNS):
+        new = written(_passing(_more_stars(members, parts, turn).join(tried, ["a", "b"], "left_anti"), reps, percent), "stars")
+        tried = tried.unionByName(new)
+        found = written(_confirmed(new, own, percent, size), "links")
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        parts = components(links)
+    more = written(_crossing(members.select("key", "rep"), reps, parts, own, percent, size).join(tried, ["a", "b"], "left_anti"), "crossing")
     if not more.isEmpty():
         again = written(_confirmed(more, own, percent, size), "links")
         if not again.isEmpty():
