@@ -15,3 +15,8 @@ def ratio(top: Column, bottom: Column, digits: int | None = None, default: float
     """top / bottom as double where bottom > 0, else ``default``."""
     x = F.when(bottom > 0, top.cast("double") / bottom.cast("double")).otherwise(F.lit(default).cast("double"))
     return x if digits is None else F.round(x, digits)
+
+
+def half_up(above: str, below: str, places: int) -> Column:
+    """above / below of whole, non-negative SQL expressions, rounded half up by whole numbers; null where below is 0."""
+    return F.when(F.expr(below) != 0, F.expr(f"({2 * 10**places} * ({above}) + ({below})) div nullif(2 * ({below}), 0)").cast("double") / 10**places)
