@@ -3,12 +3,19 @@
 A page is read as a stream of tags and text.  Text gathers in blocks (what lies
 between block-level tags); each block hangs on the root-to-leaf path of its
 block-level elements, with class and id words.  Per path the page gives two
-ratios, text length per block and punctuation per block.  Both are smoothed over
-neighbouring paths in page order, fused by their product, and paths above a share
-of the page's mean are content.  Elements whose names or class words say what
-they are (nav, footer, aside, form, advert, comments ...) are out from the start;
-where the page marks its article (article, main, role=main or itemprop
-articleBody), paths inside it are content and all others are not.
+ratios, text outside links per block and punctuation per block.  Both are smoothed
+over neighbouring paths in page order, fused by their product, and paths above a
+share of the page's mean are content.
+
+What the page says of itself weights these ratios and never replaces them.  An
+article mark (article, main, role=main or itemprop articleBody) is confirmed if
+paths that are content by ratios alone have half of their text or more in elements
+with this mark and path; text in the innermost confirmed mark then counts for more,
+text outside of it and in marks not confirmed for less.  Short kinds of text (list
+items, cells, captions, quotes) in the container of a content path are content with
+it, unless most of the text is links, and a heading goes with the text that follows it.
+Elements whose names or class words say what they are (nav, footer, aside, form,
+advert, comments ...) are out from the start.
 """
 
 from __future__ import annotations
@@ -32,6 +39,10 @@ _OUT = frozenset("nav footer aside form button menu dialog head".split())
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 _OWN_KIND = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _HOLDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+_TEXT_KIND = _HEADING | frozenset("p ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption".split())
+#: What a ratio counts for in a confirmed article mark, and outside of it or in a mark not confirmed.
+_CONFIRMED, _DOUBTED = 2.0, 0.25
 
 #: Class, id and role words of what is not the article.
 _OUT_WORD = re.compile(
@@ -45,12 +56,12 @@ _WHITE = re.compile(r"\s+")
 
 
 class Block:
-    """A stretch of text, its path, and what the elements around it say."""
+    """A stretch of text, its path, how much of it is links, and what the elements around it say."""
 
-    __slots__ = ("text", "path", "out", "article", "title")
+    __slots__ = ("text", "path", "links", "out", "marks", "title")
 
-    def __init__(self, text, path, out, article, title):
-        self.text, self.path, self.out, self.article, self.title = text, path, out, article, title
+    def __init__(self, text, path, links, out, marks, title):
+        self.text, self.path, self.links, self.out, self.marks, self.title = text, path, links, out, marks, title
 
 
 def blocks(page: str) -> list[Block]:
@@ -58,14 +69,26 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     stack: list[tuple[str, str, bool, bool]] = []  # name, step of the path, out, in the article
     text: list[str] = []
+    linked: list[str] = []  # what of the text lies in links
+
+    def add(t):
+        text.append(t)
+        if any(s[0] == "a" for s in stack):
+            linked.append(t)
 
     def end_block():
         if text:
-            t = _WHITE.sub(" ", _html.unescape("".join(text))).strip()
+            t, links = (_WHITE.sub(" ", _html.unescape("".join(x))).strip() for x in (text, linked))
             text.clear()
+            linked.clear()
             if t:
-                solid = [s for s in stack if s[0] not in _INLINE]
-                found.append(Block(t, "/".join(s[1] for s in solid), any(s[2] for s in stack), any(s[3] for s in stack), any(s[0] == "h1" for s in stack)))
+                path, marks = "", []
+                for name, step, _, article in stack:
+                    if name not in _INLINE:
+                        path = f"{path}/{step}" if path else step
+                    if article:
+                        marks.append(path)
+                found.append(Block(t, path, len(links), any(s[2] for s in stack), tuple(marks), any(s[0] == "h1" for s in stack)))
 
     def pop_to(i):
         end_block()
@@ -75,10 +98,10 @@ def blocks(page: str) -> list[Block]:
     while at < n:
         m = _TOKEN.search(page, at)
         if not m:
-            text.append(page[at:])
+            add(page[at:])
             break
         if m.start() > at:
-            text.append(page[at : m.start()])
+            add(page[at : m.start()])
         at = m.end()
         name = (m.group(2) or "").lower()
         if not name:
@@ -132,34 +155,96 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def content_paths(found: list[Block], share: float = 0.6, reach: int = 1) -> set[str]:
-    """The paths that hold content, by ratios alone."""
+def path_ratios(found: list[Block], reach: int = 1) -> dict[str, float]:
+    """By path in page order, the smoothed ratios of text and punctuation, fused."""
     paths = list(dict.fromkeys(b.path for b in found))
     if not paths:
-        return set()
+        return {}
     at = {p: i for i, p in enumerate(paths)}
     size, marks, n = (np.zeros(len(paths)) for _ in range(3))
     for b in found:
         i = at[b.path]
-        size[i] += len(b.text)
+        size[i] += max(0, len(b.text) - b.links)
         marks[i] += len(_PUNCTUATION.findall(b.text))
         n[i] += 1
     weight = np.exp(-0.5 * np.arange(-reach, reach + 1) ** 2 / 0.25)
     smooth = lambda x: np.convolve(x, weight, "full")[reach : reach + len(x)] / np.convolve(np.ones(len(x)), weight, "full")[reach : reach + len(x)]
-    fused = smooth(size / n) * smooth((marks + 0.1) / n)
-    return {p for p, x in zip(paths, fused) if x >= share * fused.mean()}
+    return dict(zip(paths, (smooth(size / n) * smooth((marks + 0.1) / n)).tolist()))
+
+
+def content_paths(found: list[Block], share: float = 0.6, reach: int = 1) -> set[str]:
+    """The paths that hold content, by ratios alone."""
+    fused = path_ratios(found, reach)
+    least = share * sum(fused.values()) / max(1, len(fused))
+    return {p for p, x in fused.items() if x >= least}
+
+
+def _leaf(path: str) -> str:
+    return path.rsplit("/", 1)[-1].split(".", 1)[0]
+
+
+def _container(path: str) -> str:
+    """The path without the elements at its end that hold one kind of text."""
+    steps = path.split("/")
+    while len(steps) > 1 and steps[-1].split(".", 1)[0] in _TEXT_KIND:
+        steps.pop()
+    return "/".join(steps)
+
+
+def confirmed_marks(found: list[Block], dense: set[str]) -> set[str]:
+    """The article marks, by path, that have half of the text of ``dense`` paths or more."""
+    held: dict[str, int] = {}
+    total = 0
+    for b in found:
+        if b.path in dense:
+            size = max(0, len(b.text) - b.links)
+            total += size
+            for m in set(b.marks):
+                held[m] = held.get(m, 0) + size
+    return {m for m, n in held.items() if 2 * n >= total}
+
+
+def content(found: list[Block], share: float = 0.6) -> list[Block]:
+    """The blocks that are content, by path ratios weighted by the article marks they confirm."""
+    fused = path_ratios(found)
+    if not fused:
+        return []
+    least = share * sum(fused.values()) / len(fused)
+    sure = confirmed_marks(found, {p for p, x in fused.items() if x >= least})
+    inmost = {m for m in sure if not any(o.startswith(f"{m}/") for o in sure)}
+
+    def weight(b):
+        if not b.marks:
+            return _DOUBTED if sure else 1.0
+        inside = any(m in inmost for m in b.marks)
+        if b.marks[-1] not in sure and (not inside or _leaf(b.marks[-1]) == "article"):
+            return _DOUBTED
+        return _CONFIRMED if inside else 1.0
+
+    links, size = {}, {}
+    for b in found:
+        links[b.path] = links.get(b.path, 0) + b.links
+        size[b.path] = size.get(b.path, 0) + len(b.text)
+    weights = [weight(b) for b in found]
+    heading = [_leaf(b.path) in _HEADING for b in found]
+    linked = {p for p in links if 2 * links[p] > size[p]}
+    good = [b.path not in linked and w * fused[b.path] >= least for b, w in zip(found, weights)]
+    beside = {_container(b.path) for b, g in zip(found, good) if g}
+    keep = [g or (2 * b.links <= len(b.text) and not h and w >= 1 and _container(b.path) in beside) for b, g, h, w in zip(found, good, heading, weights)]
+    follows = False
+    for i in range(len(found) - 1, -1, -1):
+        if heading[i]:
+            keep[i] = (found[i].title and weights[i] >= 1) or (follows and _container(found[i].path) in beside)
+        else:
+            follows = keep[i]
+    return [b for b, k in zip(found, keep) if k]
 
 
 def main_text(page: str | None, share: float = 0.6) -> str:
     """The article of a page: its blocks in page order, joined by an empty line."""
     if not page:
         return ""
-    found = [b for b in blocks(page) if not b.out]
-    inside = [b for b in found if b.article]
-    if not inside:
-        chosen = content_paths(found, share)
-        inside = [b for b in found if b.path in chosen or b.title]
-    return "\n\n".join(b.text for b in inside)
+    return "\n\n".join(b.text for b in content([b for b in blocks(page) if not b.out], share))
 
 
 def extract(pages: DataFrame, key: str = "page_id", html: str = "html", share: float = 0.6) -> DataFrame:

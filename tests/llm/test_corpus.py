@@ -203,3 +203,33 @@ def test_pages(spark):
     got = html_paths.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
     assert sorted((r.page_id is None, r.text, r.n_chars) for r in got.collect()) == [(False, "x, y.", 5), (False, "x, y.", 5), (True, "", 0)]
     assert html_paths.extract(got.where("false").withColumnRenamed("text", "html")).count() == 0
+
+
+STORY = ["A long sentence, with marks. " * n for n in (9, 6, 11)]
+TALE = "\n\n".join(p.strip() for p in STORY)
+
+
+def test_main_text_of_a_page_without_marks():
+    links = "".join(f"<li><a href=/{i}>Link number {i}</a>" for i in range(9))
+    page = f"<body><div><a href=/>Home</a> <a href=/a>About</a></div><div><div><h1>Head</h1>{''.join(f'<p>{p}</p>' for p in STORY)}<ul><li>One point.<li>Another</ul></div></div><div><ul>{links}</ul></div><div>All rights reserved.</div></body>"
+    assert html_paths.main_text(page) == f"Head\n\n{TALE}\n\nOne point.\n\nAnother"
+
+
+def test_story_beside_teaser_articles():
+    cards = "".join(f"<article class=card><h2>Teaser {i}</h2><p>Read this too, now.</p></article>" for i in range(6))
+    story = "".join(f"<div>{p}</div>" for p in STORY)
+    assert html_paths.main_text(f"<body><div class=text>{story}</div><div>{cards}</div></body>") == TALE
+    assert html_paths.main_text(f"<body><main><div class=text>{story}</div><div>{cards}</div></main></body>") == TALE
+
+
+@pytest.mark.parametrize("mark", ["main", "article"])
+def test_unclassed_boilerplate_in_the_article(mark):
+    links = "".join(f"<li><a href=/{i}>A link, number {i}</a>" for i in range(12))
+    page = f"<body><{mark}><h1>Head</h1><div>Share this: <a>Mail</a> <a>Print</a> <a>Message</a></div><p>{STORY[0]}<h2>Part</h2><p>{STORY[1]}<ul><li>A point</ul><div>Buy now, please.</div><p>{STORY[2]}<h2>More</h2><ul>{links}</ul></{mark}></body>"
+    a, b, c = TALE.split("\n\n")
+    assert html_paths.main_text(page) == "\n\n".join(["Head", a, "Part", b, "A point", c])
+
+
+def test_articles_of_one_kind_share_a_page():
+    page = "<body><main>" + "".join(f"<article class=post><h2>Post</h2><p>{p}</p></article>" for p in STORY) + "</main></body>"
+    assert html_paths.main_text(page) == "\n\n".join(f"Post\n\n{p}" for p in TALE.split("\n\n"))
