@@ -15,7 +15,8 @@ text outside of it and in marks not confirmed for less.  Short kinds of text (li
 items, cells, captions, quotes) in the container of a content path are content with
 it, unless most of the text is links, and a heading goes with the text that follows it.
 Elements whose names or class words say what they are (nav, footer, aside, form,
-advert, comments ...) are out from the start.
+advert, comments ...) are out from the start, but class words do not put out an
+element that holds most of the page's text.
 """
 
 from __future__ import annotations
@@ -50,7 +51,12 @@ _OUT_WORD = re.compile(
     re.I,
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+#: An attribute with its whole name; values are passed over, so nothing inside them is a name.
+_ATTRIBUTE = re.compile(r"([^\s\"'/=>][^\s/=>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
+#: What a layout word says of something else: no-sidebar, has-sidebar, content-with-menu.
+_NOT_OWN = re.compile(r"(?:^|(?<=[-_\s]))(?:no|not|has|have|with|without|and)[-_][^-_\s]+", re.I)
+#: Out words that also name a page's layout.
+_LAYOUT = re.compile(r"nav\w*|menu\w*|side(?:bar)?|foot(?:er)?|aside|widget\w*|search|login|masthead|skip|banner", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…、。，！？؟،]")
 _WHITE = re.compile(r"\s+")
 
@@ -58,16 +64,20 @@ _WHITE = re.compile(r"\s+")
 class Block:
     """A stretch of text, its path, how much of it is links, and what the elements around it say."""
 
-    __slots__ = ("text", "path", "links", "out", "marks", "title")
+    __slots__ = ("text", "path", "links", "out", "words", "marks", "title")
 
-    def __init__(self, text, path, links, out, marks, title):
-        self.text, self.path, self.links, self.out, self.marks, self.title = text, path, links, out, marks, title
+    def __init__(self, text, path, links, out, words, marks, title):
+        self.text, self.path, self.links, self.out, self.words, self.marks, self.title = text, path, links, out, words, marks, title
 
 
 def blocks(page: str) -> list[Block]:
-    """The non-empty blocks of a page in order."""
+    """The non-empty blocks of a page in order.
+
+    ``words`` has, for each element around a block whose class words say that it is
+    not the article, a number of the element and whether they may name a layout.
+    """
     found: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # name, step of the path, out, in the article
+    stack: list[tuple[str, str, bool, bool, tuple[int, bool] | None]] = []  # name, step of the path, out, in the article, out by its words
     text: list[str] = []
     linked: list[str] = []  # what of the text lies in links
 
@@ -83,12 +93,12 @@ def blocks(page: str) -> list[Block]:
             linked.clear()
             if t:
                 path, marks = "", []
-                for name, step, _, article in stack:
+                for name, step, _, article, _ in stack:
                     if name not in _INLINE:
                         path = f"{path}/{step}" if path else step
                     if article:
                         marks.append(path)
-                found.append(Block(t, path, len(links), any(s[2] for s in stack), tuple(marks), any(s[0] == "h1" for s in stack)))
+                found.append(Block(t, path, len(links), any(s[2] for s in stack), tuple(s[4] for s in stack if s[4]), tuple(marks), any(s[0] == "h1" for s in stack)))
 
     def pop_to(i):
         end_block()
@@ -142,15 +152,18 @@ def blocks(page: str) -> list[Block]:
                     break
         if name not in _INLINE:
             end_block()
-        said = {k.lower(): (a or b or c or "") for k, a, b, c in _ATTRIBUTE.findall(m.group(3))} if m.group(3) else {}
+        said: dict[str, str] = {}
+        for k, a, b, c in _ATTRIBUTE.findall(m.group(3)) if m.group(3) else ():
+            said.setdefault(k.lower(), a or b or c)
         words = f"{said.get('class', '')} {said.get('id', '')}".strip()
         role = said.get("role", "").lower()
         article = name in ("article", "main") or role == "main" or said.get("itemprop") == "articleBody"
         inside = any(s[3] for s in stack)
         nested = name == "article" and any(s[0] == "article" for s in stack)
         out = name in _OUT or (name == "header" and not inside) or nested or "hidden" in said or role in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog")
-        out = out or (not (name in ("article", "main", "body", "html")) and bool(words) and bool(_OUT_WORD.search(words)))
-        stack.append((name, name + (f".{'.'.join(sorted(words.split()))}" if words else ""), out, article))
+        own = _NOT_OWN.sub("", words) if words and name not in ("article", "main", "body", "html") else ""
+        by_word = (at, all(_LAYOUT.fullmatch(x.strip(" \t\r\n\f-_")) for x in _OUT_WORD.findall(own))) if own and _OUT_WORD.search(own) else None
+        stack.append((name, name + (f".{'.'.join(sorted(words.split()))}" if words else ""), out, article, by_word))
     end_block()
     return found
 
@@ -240,11 +253,39 @@ def content(found: list[Block], share: float = 0.6) -> list[Block]:
     return [b for b, k in zip(found, keep) if k]
 
 
+def live(found: list[Block]) -> list[Block]:
+    """The blocks that are not out.
+
+    Class words put an element out unless it holds most of the text of content
+    paths (more than half of it if the words may name a layout, else nine tenths)
+    and the page marks no article elsewhere only.
+    """
+    found = [b for b in found if not b.out]
+    if not any(b.words for b in found):
+        return found
+    dense = content_paths(found)
+    rest = found
+    for layout, share in ((False, 0.9), (True, 0.5)):
+        held: dict[int, int] = {}
+        marked = set()
+        total, any_mark = 0, any(b.marks for b in rest)
+        for b in rest:
+            size = len(b.text) if b.path in dense else 0
+            total += size
+            for i, kind in b.words:
+                held[i] = held.get(i, 0) + size
+                if b.marks:
+                    marked.add(i)
+        spared = {i for i, n in held.items() if n > share * total and (i in marked or not any_mark)}
+        rest = [b for b in rest if all(kind != layout or i in spared for i, kind in b.words)]
+    return rest
+
+
 def main_text(page: str | None, share: float = 0.6) -> str:
     """The article of a page: its blocks in page order, joined by an empty line."""
     if not page:
         return ""
-    return "\n\n".join(b.text for b in content([b for b in blocks(page) if not b.out], share))
+    return "\n\n".join(b.text for b in content(live(blocks(page)), share))
 
 
 def extract(pages: DataFrame, key: str = "page_id", html: str = "html", share: float = 0.6) -> DataFrame:

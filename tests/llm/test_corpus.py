@@ -233,3 +233,23 @@ def test_unclassed_boilerplate_in_the_article(mark):
 def test_articles_of_one_kind_share_a_page():
     page = "<body><main>" + "".join(f"<article class=post><h2>Post</h2><p>{p}</p></article>" for p in STORY) + "</main></body>"
     assert html_paths.main_text(page) == "\n\n".join(f"Post\n\n{p}" for p in TALE.split("\n\n"))
+
+
+@pytest.mark.parametrize(
+    "around",
+    ["style='overflow:hidden'", "aria-hidden=false", "title='The hidden valley'", "data-id=ad", "data-class='x' title='a class=ad b'", "class=no-sidebar", "class='page has-sidebar'", "id=content-with-menu", "class='sidebar left'", "class=promo"],
+)
+def test_what_does_not_put_an_article_out(around):
+    page = f"<body><div {around}><article><h1>Head</h1>{''.join(f'<p>{p}' for p in STORY)}</article></div><div class=sidebar><p>Read this too, now.</div></body>"
+    assert html_paths.main_text(page) == f"Head\n\n{TALE}"
+
+
+@pytest.mark.parametrize("around", ["hidden", "HIDDEN=''", "class='x sidebar'", "id=comments", "class=no-border-ad", "data-id=x id='ad'"])
+def test_what_puts_a_part_out(around):
+    page = f"<body><article>{''.join(f'<p>{p}' for p in STORY)}<div {around}><p>{STORY[1]}</div></article></body>"
+    assert html_paths.main_text(page) == TALE
+
+
+def test_comments_longer_than_the_article():
+    page = f"<body><div class=sidebar-page><article><p>{STORY[0]}</article></div><div class=comments>{''.join(f'<p>{p}' for p in STORY * 2)}</div></body>"
+    assert html_paths.main_text(page) == STORY[0].strip()
