@@ -36,8 +36,14 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix draws them."""
-    return mixing.draws(docs).select(*docs.columns)
+    """Documents as often as the mix draws them, dealt out by shard and in the shard's order.
+
+    Ranges of (shard, order) and not shards alone are dealt out, so a shard of a
+    large corpus is not one task; partitions follow one another in shards.
+    """
+    drawn = mixing.draws(docs)
+    own = [c for c in docs.columns if c not in ("mix_shard", "mix_order")]
+    return drawn.repartitionByRange("mix_shard", "mix_order").sortWithinPartitions("mix_shard", "mix_order").select(*own)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

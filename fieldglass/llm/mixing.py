@@ -128,10 +128,12 @@ def draws(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3) -> D
     """The mix: the rows of ``docs`` as often as drawn, with mix_shard and mix_order (position key in the shard).
 
     Rows not drawn are absent.  Columns of ``docs`` of these two names are replaced.
+    The order goes by doc_id, text and copy; only rows that agree in all three, and
+    so are the same text in the same shard, have one place.
     """
     own, blocks = plan(docs, seed, shards, most)
     out = own.join(blocks.select("_name", "_block", "shards"), ["_name", "_block"]).select(*[c for c in docs.columns if c not in ("mix_shard", "mix_order")], F.posexplode("shards").alias("_copy", "mix_shard"))
-    return out.withColumn("mix_order", F.xxhash64(F.lit(seed + 2), "doc_id", "_copy")).drop("_copy")
+    return out.withColumn("mix_order", F.xxhash64(F.lit(seed + 2), "doc_id", "text", "_copy")).drop("_copy")
 
 
 def mix(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3) -> DataFrame:
