@@ -24,9 +24,27 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows without doc_id take no part and stay.
     """
-    kept = near_dedup.near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
-    once = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return once.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    known = _keyed(docs.where("doc_id is not null"))
+    kept = near_dedup.near_duplicates(known.select(F.col("_key").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_kept_key")).distinct()
+    once = known.dropDuplicates(["_key"])
+    return once.join(kept, F.col("_key") == F.col("_kept_key"), "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with _key, one for each doc_id and text.
+
+    It is the doc_id, but for further texts of a doc_id a hash of both above 2**62,
+    so that other documents go before them.
+    """
+    own = docs.withColumn("_text", F.coalesce(F.sha2(F.col("text").cast("string"), 256), F.lit("")))
+    several = own.groupBy("doc_id").agg(F.min("_text").alias("_first"), F.max("_text").alias("_last")).where("_first <> _last").select(F.col("doc_id").alias("_several"), "_first")
+    several = written(several, "several")
+    key = F.col("doc_id").cast("long")
+    if several.isEmpty():
+        return docs.withColumn("_key", key)
+    both = own.join(several, F.col("doc_id") == F.col("_several"), "left")
+    further = F.shiftrightunsigned(F.xxhash64("doc_id", "_text"), 2).bitwiseOR(F.lit(1 << 62))
+    return written(both.select(*docs.columns, F.when(F.col("_text") != F.col("_first"), further).otherwise(key).alias("_key")), "keyed")
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

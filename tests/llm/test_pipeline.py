@@ -20,3 +20,11 @@ def test_mixing_writes_shards_in_order_and_spreads_copies(spark):
     often = Counter(got)
     side_by_side = sum(a == b for a, b in zip(got, got[1:]))
     assert max(often.values()) > 1 and side_by_side < sum(often.values()) / 50
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    text = lambda word: " ".join(f"{word}{i}" for i in range(30))
+    rows = [(1, text("a")), (1, text("b")), (1, text("b")), (1, None), (2, text("c")), (3, text("c")), (3, text("d")), (3, text("d")), (None, text("c")), (4, None)]
+    docs = written(spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], SCHEMA).repartition(2), "docs")
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect())
+    assert got == Counter(set(rows) - {(3, text("c"))})
