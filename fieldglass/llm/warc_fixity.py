@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +25,8 @@ from .common import filesystem, ship
 from .grams import slices
 
 _INDEX = "shard int, seq long, offset long, length long, key long, n_bytes long, payload_sha256 string"
-_LEAVES = "shard int, seq long, hash string"
+_LEAVES = "shard int, seq long, hash string, n_bytes long, payload_sha256 string"
+_HEAD_END = re.compile(rb"\r\nWARC-Payload-Digest: sha256:([0-9a-f]{64})\r\nContent-Type: text/html\r\nContent-Length: (\d+)\r\n\r\n")
 
 
 def record(url: str | None, body: bytes, record_id: str) -> bytes:
@@ -33,6 +36,20 @@ def record(url: str | None, body: bytes, record_id: str) -> bytes:
     return gzip.compress(head.encode() + body + b"\r\n\r\n", 1, mtime=0)
 
 
+def payload(data: bytes) -> tuple[int, str] | None:
+    """Length and digest of the body of a record, or None if it is not a whole record that agrees with its own head."""
+    try:
+        text = gzip.decompress(data)
+    except (OSError, EOFError, zlib.error):
+        return None
+    m = _HEAD_END.search(text)
+    if not m or text[m.end() + int(m.group(2)) :] != b"\r\n\r\n":
+        return None
+    body = text[m.end() : -4]
+    digest = hashlib.sha256(body).hexdigest()
+    return (len(body), digest) if digest == m.group(1).decode() and len(body) == int(m.group(2)) else None
+
+
 def write_warc(pages: DataFrame, folder: str, key: str = "page_id") -> DataFrame:
     """Write pages to WARC files, one a task; returns an index row per record.
 
@@ -89,7 +106,7 @@ def copy_replica(index: DataFrame, source: str, target: str, damage=None) -> Dat
 
 
 def leaves(index: DataFrame, folder: str) -> DataFrame:
-    """The hash of every indexed record as a replica holds it; null where it cannot be read."""
+    """The hash of every indexed record as a replica holds it, and its body's length and digest; null where it cannot be read."""
     ship(index.sparkSession)
 
     def run(batches):
@@ -110,9 +127,10 @@ def leaves(index: DataFrame, folder: str) -> DataFrame:
                 if f:
                     f.seek(min(o, f.size()))
                     data = f.read(n)
-                out.append((s, q, hashlib.sha256(data).hexdigest() if data is not None and len(data) == n else None))
+                whole = data is not None and len(data) == n
+                out.append((s, q, hashlib.sha256(data).hexdigest() if whole else None, *(whole and payload(data) or (None, None))))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.string()))], ["shard", "seq", "hash"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.string()))], [x.split()[0] for x in _LEAVES.split(", ")])
 
     return index.select("shard", "seq", "offset", "length").mapInArrow(run, _LEAVES)
 
@@ -127,8 +145,10 @@ def mismatches(a: DataFrame, b: DataFrame, longest: int, fanout: int = 16) -> Da
     """(shard, seq) of records that differ between two replicas' leaves.
 
     ``longest`` is the largest number of records in a file; it sets the height of
-    the trees.  Records that only one side has differ too.
+    the trees.  Records that only one side has differ too, and so do records that
+    neither can give.
     """
+    a, b = (x.withColumn("hash", F.coalesce("hash", F.lit(side))) for x, side in ((a, "none in a"), (b, "none in b")))
     levels, n = [(a, b)], longest
     while n > 1:
         levels.append(tuple(parents(x, fanout) for x in levels[-1]))
@@ -146,13 +166,22 @@ def mismatches(a: DataFrame, b: DataFrame, longest: int, fanout: int = 16) -> Da
 def audit(index: DataFrame, replica_a: str, replica_b: str, fanout: int = 16) -> DataFrame:
     """Index rows with ``status``: 'ok', or 'mismatch' where the replicas differ.
 
-    A record that one replica lacks or cannot give counts as different; an empty
-    index gives an empty result; keys may be null or repeat, since records go by
-    shard and place.
+    A record that a replica lacks or cannot give counts as different, also if both
+    do; so does one whose body is not what the index says.  n_bytes and
+    payload_sha256 are those of the record read back, from the second replica where
+    the first does not give it, and null where neither does.  An empty index gives
+    an empty result; keys may be null or repeat, since records go by shard and place.
     """
     from .common import written
 
     a, b = (written(leaves(index, r), "leaves") for r in (replica_a, replica_b))
     longest = index.agg(F.max("seq")).first()[0]
-    bad = mismatches(a, b, (longest or 0) + 1, fanout).withColumn("_bad", F.lit(True))
-    return index.join(bad, ["shard", "seq"], "left").withColumn("status", F.when(F.col("_bad"), "mismatch").otherwise("ok")).drop("_bad")
+    bad = mismatches(a, b, (longest or 0) + 1, fanout)
+    second = bad.join(b, ["shard", "seq"], "left").select("shard", "seq", F.lit(True).alias("_bad"), F.col("n_bytes").alias("_n_b"), F.col("payload_sha256").alias("_p_b"))
+    first = a.select("shard", "seq", F.col("n_bytes").alias("_n_a"), F.col("payload_sha256").alias("_p_a"))
+    n, p = F.coalesce("_n_a", "_n_b"), F.coalesce("_p_a", "_p_b")
+    same = n.eqNullSafe(F.col("n_bytes")) & p.eqNullSafe(F.col("payload_sha256"))
+    status = F.when(F.col("_bad").isNull() & same, "ok").otherwise("mismatch")
+    read = {"n_bytes": n, "payload_sha256": p}
+    out = index.join(first, ["shard", "seq"], "left").join(second, ["shard", "seq"], "left")
+    return out.select(*[read.get(c, F.col(c)).alias(c) for c in index.columns], status.alias("status"))

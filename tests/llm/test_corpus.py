@@ -190,6 +190,31 @@ def test_audit(spark):
     assert warc_fixity.audit(index.where("false"), a, b).count() == 0
 
 
+def test_audit_of_what_neither_replica_gives(spark):
+    import os
+
+    pages = spark.createDataFrame([(i, f"u{i}", f"<p>{i}</p>") for i in range(40)], "page_id long, url string, html string").repartition(2)
+    a, b = scratch(spark, "a"), scratch(spark, "b")
+    index = written(warc_fixity.write_warc(pages, a), "index")
+    warc_fixity.copy_replica(index, a, b, lambda k: k == 4).collect()
+    rows = index.collect()
+    shard = next(r.shard for r in rows if r.key == 4)
+    cut = min((r for r in rows if r.shard != shard and r.seq == 9), key=lambda r: r.shard)
+    for folder in (a, b):
+        os.truncate(f"{folder}/{cut.shard:06d}.warc.gz", cut.offset)
+    wrong = next(r for r in rows if r.shard == shard and r.key != 4)
+    from pyspark.sql import functions as F
+
+    said = index.withColumn("payload_sha256", F.when(F.col("key") == wrong.key, "0").otherwise(F.col("payload_sha256")))
+    got = {r.key: r for r in warc_fixity.audit(said, a, b, fanout=4).collect()}
+    lost = {r.key for r in rows if r.shard == cut.shard and r.seq >= 9}
+    assert len(got) == 40 and lost and {k for k, r in got.items() if r.status != "ok"} == {4, wrong.key} | lost
+    assert all((got[r.key].n_bytes, got[r.key].payload_sha256) == ((None, None) if r.key in lost else (r.n_bytes, r.payload_sha256)) for r in rows)
+    for folder in (a, b):
+        os.remove(f"{folder}/{cut.shard:06d}.warc.gz")
+    assert {r.key for r in warc_fixity.audit(index, a, b).where("status <> 'ok'").collect()} == {4} | {r.key for r in rows if r.shard == cut.shard}
+
+
 def test_main_text():
     page = "<html><head><title>t</title></head><body><nav><a>x</a></nav><div class='ad'>Buy now, please.</div><article><h1>H &amp; I</h1><p>One,\n two.<p>Three<br>four<script>no</script></article><div id=comments><p>me too, really.</p></div><footer>f</footer></body>"
     assert html_paths.main_text(page) == "H & I\n\nOne, two.\n\nThree four"
