@@ -278,3 +278,19 @@ def test_what_puts_a_part_out(around):
 def test_comments_longer_than_the_article():
     page = f"<body><div class=sidebar-page><article><p>{STORY[0]}</article></div><div class=comments>{''.join(f'<p>{p}' for p in STORY * 2)}</div></body>"
     assert html_paths.main_text(page) == STORY[0].strip()
+
+
+def test_quality_equals_its_sql_where_lines_go(spark, tmp_path):
+    import duckdb
+
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(60)).translate(str.maketrans("0123456789", "abcdefghij"))
+    rows = [(i, ("Shared  Line 1 of all\n" if i < 30 else "") + ("one line of few\n" if i < 20 else "") + own(i), "h") for i in range(50)]
+    rows += [(100 + i, ("seen in two of a hundred\n" if i < 21 else "") + own(i), "big") for i in range(1100)] + [(2000 + i, "in every text\n" + own(i), "small") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "d"))
+    got = line_quality.quality(spark.read.parquet(str(tmp_path / "d")))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/d/*.parquet')")
+    want = c.execute(line_quality.ORACLE)
+    assert [d[0] for d in want.description] == got.columns
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+    assert {r.doc_id for r in got.where("n_removed_words > 0").collect()} == set(range(1, 30))
