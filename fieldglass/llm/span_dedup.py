@@ -1,14 +1,13 @@
-"""Substring dedup by compaction of a de Bruijn graph of words.
+"""Substring dedup by word windows hashed in minimizer buckets.
 
-Every ``k`` consecutive words of one document are an edge between two
-(k-1)-word nodes.  Edges are dealt out by their minimizer, the least hash among
+Every ``k`` consecutive words of one document are an edge.  Edges are dealt out by their minimizer, the least hash among
 the ``anchor``-word grams inside them: it is a function of the edge's words
 alone, so equal edges meet in one bucket, and neighbouring edges of a document
 mostly share their bucket.  In a bucket, edges that more than one document
 carries are found by sorting, and neighbours that repeat the same stretch of the
-same source document are compacted into one nonbranching path, named by the
-coordinates of both.  A Spark join on the document glues the paths of all
-buckets together and the coordinates mark the words to remove.
+same source document are compacted into one run of the bucket.  A Spark join on
+the document brings the runs of all buckets to its text; they mark the words to
+remove and are neither glued across buckets nor compared with the source text.
 
 Equal edges are told by 112 bits: the 64-bit hash of the minimizer and 48 bits
 of a hash of all k words.
