@@ -28,3 +28,33 @@ def test_texts_that_share_an_id_are_documents_of_their_own(spark):
     docs = written(spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], SCHEMA).repartition(2), "docs")
     got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect())
     assert got == Counter(set(rows) - {(3, text("c"))})
+
+
+def test_run_and_stages_against_plain_python(spark, tmp_path):
+    from fieldglass.llm import packing, pii
+    from fieldglass.llm.queries import tokenizer_file
+
+    text = lambda word, n=60: " ".join(f"{word}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(n))
+    rows = [(i, text(chr(97 + i) * 2), "en", "s" if i % 2 else None, None, i) for i in range(6)] + [(9, text("mail a@b.co "), None, "s", 1, 9), (10, text("aa"), "en", "s", 1, 10), (5, text("ff"), "en", "s", None, 5), (11, "short", "en", "s", 1, 11), (12, None, "en", "s", 1, 12), (None, text("zz"), "en", "s", 1, 13)]
+    frame = spark.createDataFrame(rows, SCHEMA + ", extra int")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    rule = [r for r in rows if r[1] and len(r[1].split()) >= 50]
+    good = written(corpus_pipeline.quality_rules(spark, docs, ""), "good")
+    assert Counter((r.doc_id, r.text, r.extra) for r in good.collect()) == Counter((r[0], r[1], r[5]) for r in rule)
+    once = [r for r in dict.fromkeys((r[0], r[1], r[5]) for r in rule) if r[0] != 10]
+    near = written(corpus_pipeline.near_dedup_stage(spark, good, ""), "near")
+    assert Counter((r.doc_id, r.text, r.extra) for r in near.collect()) == Counter(once)
+    masked = written(corpus_pipeline.mask_pii(spark, near, ""), "masked")
+    want = {i: pii.masked(t, pii.spans(t)) for i, t, _ in once}
+    assert {r.doc_id: r.text for r in masked.collect()} == want and "[EMAIL]" in want[9]
+    assert all(r.n_chars == len(r.text) for r in masked.collect())
+    copies = Counter()
+    for r in mixing.mix(masked).collect():
+        copies[r.doc_id] += len([x for x in r.shards.split(",") if x])
+    mixed = corpus_pipeline.mix_sources(spark, masked, "")
+    assert Counter(r.doc_id for r in mixed.collect()) == +copies
+    pieces = packing.pack(mixed, tokenizer_file("byte_bpe_50k.json")).select("doc_id", "length").collect()
+    assert Counter(tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "length").collect()) == Counter(map(tuple, pieces))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), "").count() == 0
