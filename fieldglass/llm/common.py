@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -36,14 +37,16 @@ def ship(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    ``spark.checkpoint.dir`` names it.  Only where that is unset (tests, local
-    mode) a temporary folder is made and set as the checkpoint folder.
+    ``spark.checkpoint.dir`` names it.  Only where that is unset and the master is
+    local (tests) a temporary folder is made and set as the checkpoint folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="fieldglass-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -71,6 +74,32 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """Tables that an operator writes on its way; those no longer needed are removed at once."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def write(self, df: DataFrame, tag: str) -> DataFrame:
+        path = scratch(self.spark, tag)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(out)] = out, path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove tables written here, and shuffle files that nothing refers to any more.
+
+        Spark frees the latter when the driver collects its garbage, which a driver
+        with a roomy heap may not do while a loop fills the executors' disks.
+        """
+        for t in tables:
+            _remove(self.spark, self._paths.pop(id(t))[1])
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+
 def filesystem(path: str):
     """(pyarrow filesystem, path in it) of a path with or without a scheme."""
     from pyarrow import fs

@@ -9,7 +9,7 @@
    n - 1 pairs.  Pairs pass a size bound and the signature, and are then
    confirmed on the full sets, recomputed from the whole texts.
 3. Connected components of confirmed links by alternating large-star and
-   small-star, each step a group minimum and a join, cut by checkpoint().
+   small-star, each step a group minimum and a join, every round a written table.
 4. Stars may miss a link between two members of a bucket that both fail against
    the least one.  Buckets that still hold several components form stars around
    members drawn by hash, a few rounds long, which joins what is left of large
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import Workspace, ship
 from .grams import U, Words, _stream, mix, slices, strings
 
 _FEATURES = "doc_id long, n long, set binary, keys array<long>, signature binary"
@@ -161,11 +161,11 @@ def _maybe_in(docs: DataFrame, ids: DataFrame, bits: int = 26) -> DataFrame:
     return docs.where("doc_id is not null").select("doc_id", "text", place(F.col("doc_id")).alias("at")).mapInArrow(keep, "doc_id long, text string")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """Of pairs (a, b) those linked on the full sets of their whole texts."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int, space: Workspace) -> DataFrame:
+    """Of pairs (a, b) those linked on the full sets of their whole texts; written, and only ``pairs`` is left beside it."""
+    ids = space.write(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     some = _maybe_in(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), ids)
-    texts = written(some.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    texts = space.write(some.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
     side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
 
@@ -182,30 +182,53 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Da
                     ok.append(100 * both >= percent * (len(kept) + len(s) - both))
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long")
+    out = space.write(both.select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long"), "links")
+    space.drop(ids, texts)
+    return out
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, space: Workspace | None = None) -> DataFrame:
     """(node, root): for nodes of links (a, b), the least node of their component.
 
     Large-star joins each larger neighbour of a node to the node's least
     neighbour, small-star each smaller one; both only need a group minimum, so no
-    node's neighbours are gathered in one place.  Ends when the links stand still.
+    node's neighbours are gathered in one place.  Every round is written to the
+    shared folder in place of the one before.  Ends when the links stand still.
     """
-    now = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
-    state = None
+    space = space or Workspace(links.sparkSession)
+    now = space.write(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    state = _state(now)
     while True:
         ways = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = ways.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = ways.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("x")).select("x.*").where("u <> v").distinct()
-        now = small.checkpoint()
-        seen = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-        if seen == state:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        state = seen
+        large = ways.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("x")).select("x.*").where("u <> v").distinct()
+        last, now = now, space.write(small, "edges")
+        space.drop(last)
+        last, state = state, _state(now)
+        if last == state:
+            out = space.write(now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), "components")
+            space.drop(now)
+            return out
+
+
+def _state(edges: DataFrame) -> tuple:
+    """A count and a sum of hashes that tell two sets of edges apart."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
+
+def _joined(parts: DataFrame, pairs: DataFrame, docs: DataFrame, percent: int, size: int, space: Workspace) -> tuple[DataFrame, bool]:
+    """(components after the links among ``pairs`` are added to ``parts``, whether there were any)."""
+    if pairs.isEmpty():
+        return parts, False
+    links = _confirmed(pairs, docs, percent, size, space)
+    if links.isEmpty():
+        space.drop(links)
+        return parts, False
+    out = components(links.unionByName(parts.select(F.col("node").alias("a"), F.col("root").alias("b"))), space)
+    space.drop(links, parts)
+    return out, True
 
 
 def _more_stars(members: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
@@ -230,8 +253,8 @@ def _short_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return some.select("doc_id", "text").mapInArrow(run, "rep long, short binary").groupBy("rep").agg(F.first("short").alias("short"))
 
 
-def _crossing(members: DataFrame, reps: DataFrame, parts: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """Pairs of members of one bucket that lie in different components and may be linked.
+def _crossing(members: DataFrame, reps: DataFrame, parts: DataFrame, docs: DataFrame, percent: int, size: int, space: Workspace) -> DataFrame:
+    """Pairs of members of one bucket that lie in different components and may be linked; written.
 
     Sizes, signatures and then the low bits of all shingle hashes are compared in
     the task, which lets through every link and next to nothing else; only such
@@ -241,9 +264,10 @@ def _crossing(members: DataFrame, reps: DataFrame, parts: DataFrame, docs: DataF
     at = members.join(parts.select(F.col("node").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
     split = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("key", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    rows = written(at.join(split, "key").withColumn("block", own), "unresolved")
-    short = _short_sets(docs, written(rows.select("rep").distinct(), "ids"), size)
-    rows = rows.join(reps.select("rep", "n", "signature"), "rep").join(short, "rep")
+    unresolved = space.write(at.join(split, "key").withColumn("block", own), "unresolved")
+    ids = space.write(unresolved.select("rep").distinct(), "ids")
+    short = _short_sets(docs, ids, size)
+    rows = unresolved.join(reps.select("rep", "n", "signature"), "rep").join(short, "rep")
     rows = rows.select("key", "rep", "root", "n", "signature", "short", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).select("key", "i", "j", "block", "rep", "root", "n", "signature", "short")
 
@@ -268,7 +292,9 @@ def _crossing(members: DataFrame, reps: DataFrame, parts: DataFrame, docs: DataF
         none = np.zeros(0, np.int64)
         return pa.table({"a": pa.array(np.concatenate([none, *a])), "b": pa.array(np.concatenate([none, *b]))})
 
-    return rows.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    out = space.write(rows.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct(), "crossing")
+    space.drop(unresolved, ids)
+    return out
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
@@ -282,30 +308,36 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     Rows that repeat a doc_id (with the same text) get the same result each.
     Other columns are not looked at; an empty table gives an empty result.
     """
+    space = Workspace(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    feats = written(features(own, size), "features")
-    known = feats.where("doc_id is not null and n > 0")
-    reps = written(known.groupBy("set").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature")), "classes")
-    dealt = reps.select("rep", F.explode("keys").alias("key"))
+    whole = space.write(features(own, size), "features")
+    known = whole.where("doc_id is not null and n > 0")
+    classes = space.write(known.groupBy("set").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature")), "classes")
+    feats = space.write(whole.select("doc_id", "n", "set"), "sets")
+    space.drop(whole)
+    dealt = classes.select("rep", F.explode("keys").alias("key"))
     hubs = dealt.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub <> top").select("key", "hub")
-    members = written(dealt.join(hubs, "key").select("key", "hub", "rep"), "buckets")
+    members = space.write(dealt.join(hubs, "key").select("key", "hub", "rep"), "buckets")
+    reps = space.write(classes.drop("keys"), "reps")
+    space.drop(classes)
     stars = members.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = written(_confirmed(written(_passing(stars, reps, percent), "stars"), own, percent, size), "links")
-    parts = components(links)
-    tried = stars
+    tried = [space.write(_passing(stars, reps, percent), "stars")]
+    links = _confirmed(tried[0], own, percent, size, space)
+    parts = components(links, space)
+    space.drop(links)
     for turn in range(_TURNS):
-        new = written(_passing(_more_stars(members, parts, turn).join(tried, ["a", "b"], "left_anti"), reps, percent), "stars")
-        tried = tried.unionByName(new)
-        found = written(_confirmed(new, own, percent, size), "links")
-        if found.isEmpty():
+        before = tried[0]
+        for x in tried[1:]:
+            before = before.unionByName(x)
+        new = space.write(_passing(_more_stars(members, parts, turn).join(before, ["a", "b"], "left_anti"), reps, percent), "stars")
+        tried.append(new)
+        parts, grown = _joined(parts, new, own, percent, size, space)
+        if not grown:
             break
-        links = links.unionByName(found)
-        parts = components(links)
-    more = written(_crossing(members.select("key", "rep"), reps, parts, own, percent, size).join(tried, ["a", "b"], "left_anti"), "crossing")
-    if not more.isEmpty():
-        again = written(_confirmed(more, own, percent, size), "links")
-        if not again.isEmpty():
-            parts = components(links.unionByName(again))
+    left = _crossing(members.select("key", "rep"), reps, parts, own, percent, size, space)
+    for x in tried:
+        left = left.join(x, ["a", "b"], "left_anti")
+    parts, _ = _joined(parts, space.write(left, "crossing"), own, percent, size, space)
     roots = reps.select("set", "rep").join(parts.select(F.col("node").alias("rep"), "root"), "rep", "left").select(F.col("set").alias("_set"), F.coalesce("root", "rep").alias("_root"))
     out = feats.join(roots, F.when(F.col("n") > 0, F.col("set")) == F.col("_set"), "left")
     part = F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id"))
