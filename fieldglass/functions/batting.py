@@ -72,3 +72,32 @@ def hitter_projection(seasons: str, age: Column, park: Column) -> dict[str, Colu
     counts = {"ab": rate["at_bats"], "hits": h, "home_runs": hr, "walks": bb, "strikeouts": rate["strikeouts"]}
     out = {"projected_pa": plays} | {f"projected_{k}": F.bround(plays * v, 1) for k, v in counts.items()} | {f"projected_{k}": F.bround(v, 3) for k, v in slash.items()}
     return {k: F.when(pa != 0, v) for k, v in out.items()}
+
+
+# Rates per out a pitcher's projection is drawn to, over how many outs, and the constant of its fip.
+PITCHER_LEAGUE = {"earned_runs": 0.150, "strikeouts": 0.220, "walks": 0.090, "hits": 0.280, "home_runs": 0.028}
+PITCHER_REGRESSION, PITCHER_FIP = 1350.0, 3.20
+#: Fields of a pitcher's season, by the column each is taken from.
+PITCHER_COUNTS = {"innings_outs": "outs", "earned_runs": "earned_runs", "strikeouts": "strikeouts", "walks_allowed": "walks", "hits_allowed": "hits", "home_runs_allowed": "home_runs"}
+
+
+def pitcher_projection(seasons: str, age: Column, park: Column) -> dict[str, Column]:
+    """Projected columns from ``seasons``, an array of up to three structs of PITCHER_COUNTS, the latest first.
+
+    Age turns the other way round than for batters: what makes them better makes
+    runs fewer.  All are null where the weighted outs are 0.
+    """
+    s = F.slice(seasons, 1, 3)
+    weighted = lambda c: F.aggregate(F.zip_with(s, F.array(*map(F.lit, SEASON_WEIGHTS)), lambda x, w: F.coalesce(x[c], F.lit(0.0)) * w), F.lit(0.0), lambda a, x: a + x)
+    outs = weighted("outs")
+    rate = {c: (weighted(c) + PITCHER_REGRESSION * league) / (outs + PITCHER_REGRESSION) for c, league in PITCHER_LEAGUE.items()}
+    grown = F.lit(2.0) - aging(age)
+    year = lambda i, default: F.when(F.size(seasons) > i, F.coalesce(F.get(seasons, F.lit(i))["outs"], F.lit(0.0))).otherwise(F.lit(default))
+    thrown = 0.5 * year(0, 300.0) + 0.1 * year(1, 200.0) + 180.0
+    out = {
+        "projected_ip": F.bround(thrown / 3.0, 1),
+        "projected_era": F.bround(rate["earned_runs"] * 27.0 * grown * park, 2),
+        "projected_whip": F.bround((rate["hits"] + rate["walks"]) * 3.0 * park, 2),
+        "projected_fip": F.bround(39.0 * rate["home_runs"] + 9.0 * rate["walks"] - 6.0 * rate["strikeouts"] + PITCHER_FIP, 2),
+    } | {f"projected_{n}": F.bround(thrown * rate[c], 1) for n, c in (("strikeouts", "strikeouts"), ("walks", "walks"), ("hits_allowed", "hits"), ("home_runs_allowed", "home_runs"))}
+    return {k: F.when(outs != 0, v) for k, v in out.items()}
