@@ -1,16 +1,25 @@
-"""Substring dedup by word windows hashed in minimizer buckets.
-
-Every ``k`` consecutive words of one document are an edge.  Edges are dealt out by their minimizer, the least hash among
-the ``anchor``-word grams inside them: it is a function of the edge's words
-alone, so equal edges meet in one bucket, and neighbouring edges of a document
-mostly share their bucket.  In a bucket, edges that more than one document
-carries are found by sorting, and neighbours that repeat the same stretch of the
-same source document are compacted into one run of the bucket.  A Spark join on
-the document brings the runs of all buckets to its text; they mark the words to
-remove and are neither glued across buckets nor compared with the source text.
-
-Equal edges are told by 112 bits: the 64-bit hash of the minimizer and 48 bits
-of a hash of all k words.
+"""Substring dedup: a de Bruijn graph of word windows, compacted in minimizer buckets.
+
+Every ``k`` consecutive words of one document are an edge between the ``k - 1``
+words it begins and ends with.  Equal edges of several documents are one edge of the
+graph; its source is the least document that has it.  A document walks along
+edges, and a stretch of its walk on which the source and the place in it go on
+without a branch is a path.
+
+1. Edges are dealt out by their minimizer, the least hash among the
+   ``anchor``-word grams inside them: a function of the edge's words alone, so
+   equal edges meet in one bucket, and neighbouring edges mostly share a bucket.
+   In a bucket, edges that more than one document carries are found by sorting,
+   and neighbours on one path are compacted.
+2. Paths that were cut where the bucket changes are glued by Spark: pieces of one
+   document and source that go on in both become one path.
+3. Each distinct span of a source is read at its source coordinates by a join with
+   the texts and digested (BLAKE2b, 128 bits of the words themselves).  A path
+   whose own words have another digest is not a repeat and is dropped.
+4. The paths left mark the words to remove from their document.
+
+In step 1 equal edges are told by 112 bits: the 64-bit hash of the minimizer and 48
+bits of a hash of all k words; step 3 does not rest on these.
 
 Volume: one row of some binary columns per chunk of texts and bucket leaves the
 scan, about 8 bytes an edge.  Of an edge found often in a chunk, only the
@@ -28,9 +37,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import partitions, ship
+from .common import Workspace, partitions, ship
 from .grams import U, Words, mix, slices, strings
 
 _INDEX = "bucket int, size long, anchor binary, doc binary, at binary, count binary, back binary, tail binary"
@@ -153,7 +163,7 @@ def _paths(rows: pa.Table, buckets: int):
 
 
 def repeated_paths(docs: DataFrame, k: int = 13, anchor: int = 5, chunk_bytes: int = 3 << 20) -> DataFrame:
-    """Compacted paths: words start..start+n+k-2 of doc_id repeat those of source_id from source_start.
+    """Paths compacted by bucket: words start..start+n+k-2 of doc_id repeat those of source_id from source_start.
 
     ``source_id`` is a smaller doc_id that has the same words.  Of an edge that a
     document holds several times one place at least is given.  Rows without
@@ -187,11 +197,47 @@ def repeated_paths(docs: DataFrame, k: int = 13, anchor: int = 5, chunk_bytes: i
     return packed.groupBy("bucket").applyInArrow(paths, _PATHS)
 
 
+def glued(paths: DataFrame) -> DataFrame:
+    """Paths whose pieces come from several buckets, as one row each.
+
+    One shuffle by doc_id serves the windows and the sums; a document has at most
+    as many pieces as words.
+    """
+    along = W.partitionBy("doc_id", "source_id", "shift").orderBy("start")
+    pieces = paths.repartition("doc_id").withColumn("shift", F.col("source_start") - F.col("start"))
+    begins = (~F.lag(F.col("start") + F.col("n")).over(along).eqNullSafe(F.col("start"))).cast("int")
+    pieces = pieces.withColumn("begins", begins).withColumn("path", F.sum("begins").over(along.rowsBetween(W.unboundedPreceding, 0)))
+    whole = pieces.groupBy("doc_id", "source_id", "shift", "path").agg(F.min("start").alias("start"), F.sum("n").cast("int").alias("n"), F.min("source_start").alias("source_start"))
+    return whole.select("doc_id", "start", "n", "source_id", "source_start")
+
+
+def _digest(words: list[bytes], start: int, n: int) -> bytes:
+    return hashlib.blake2b(b" ".join(words[start : start + n]), digest_size=16).digest()
+
+
+def source_digests(texts: DataFrame, paths: DataFrame, k: int) -> DataFrame:
+    """source_id, source_start, n and the digest of the words there, for every distinct span of a source."""
+    asked = paths.groupBy("source_id").agg(F.collect_set(F.struct("source_start", "n")).alias("spans"))
+
+    def read(batches):
+        for batch in batches:
+            out = []
+            for i, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans"))):
+                words = (text or "").encode().split()
+                out += [(i, s["source_start"], s["n"], _digest(words, s["source_start"], s["n"] + k - 1)) for s in spans]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["source_id", "source_start", "n", "digest"])
+
+    both = texts.join(asked, F.col("doc_id") == F.col("source_id")).select("doc_id", "text", "spans")
+    return both.mapInArrow(read, "source_id long, source_start int, n int, digest binary")
+
+
 def _cut(text: str | None, runs, k: int):
     """(words, removed, kept words) of one text."""
     raw = (text or "").encode()
     words = raw.split()
-    if runs is None or not len(runs):
+    runs = [r for r in runs or () if _digest(words, r["start"], r["n"] + k - 1) == r["digest"]]
+    if not runs:
         return len(words), 0, words
     w = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
     n = len(words)
@@ -218,9 +264,19 @@ def remove_repeats(docs: DataFrame, k: int = 13, anchor: int = 5) -> DataFrame:
     without doc_id is neither source nor target and keeps all; rows that repeat
     a doc_id (with the same text) get the same result each.  Other columns of
     the input are not looked at.
+
+    The paths are written to the shared folder; the shuffle that built them is
+    then freed, and texts are shuffled once for both joins with them.
     """
-    runs = repeated_paths(docs, k, anchor).groupBy(F.col("doc_id").alias("_path_doc")).agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    both = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(runs, F.col("doc_id") == F.col("_path_doc"), "left").select("doc_id", "text", "runs")
+    space = Workspace(docs.sparkSession)
+    paths = space.write(glued(repeated_paths(docs, k, anchor)), "paths")
+    space.drop()
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = own.where("doc_id is not null")
+    runs = paths.join(source_digests(texts, paths, k), ["source_id", "source_start", "n"])
+    runs = runs.groupBy(F.col("doc_id").alias("_path_doc")).agg(F.collect_list(F.struct("start", "n", "digest")).alias("runs"))
+    both = texts.join(runs, F.col("doc_id") == F.col("_path_doc"), "left").select("doc_id", "text", "runs")
+    both = both.unionByName(own.where("doc_id is null").withColumn("runs", F.lit(None).cast(both.schema["runs"].dataType)))
 
     def cut(batches):
         for batch in batches:
