@@ -36,7 +36,7 @@ from .grams import slices
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe svg math object select".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br wbr img".split())
-_OUT = frozenset("nav footer aside form button menu dialog head".split())
+_OUT = frozenset("nav footer aside button menu dialog head".split())
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 _OWN_KIND = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _HOLDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
@@ -50,7 +50,7 @@ _OUT_WORD = re.compile(
     r"(?:^|[-_\s])(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|foot(?:er)?|side(?:bar)?|aside|widget\w*|cookie\w*|consent|gdpr|notice|popup|modal|newsletter|subscri\w*|share|sharing|social|related|recommend\w*|comments?|respond|reply|replies|disqus|login|signup|search|copyright|masthead|skip)(?:$|[-_\s])",
     re.I,
 )
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)?)*)(?:>|\Z)", re.S)
 #: An attribute with its whole name; values are passed over, so nothing inside them is a name.
 _ATTRIBUTE = re.compile(r"([^\s\"'/=>][^\s/=>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
 #: What a layout word says of something else: no-sidebar, has-sidebar, content-with-menu.
@@ -126,9 +126,8 @@ def blocks(page: str) -> list[Block]:
                     break
             continue
         if name in _RAW:
-            close = re.compile(rf"</{name}\s*(?:>|\Z)", re.I).search(page, at)
             if not m.group(3).rstrip().endswith("/"):
-                at = close.end() if close else n
+                at = _after_raw(page, name, at)
             continue
         if name in ("br", "hr") or name in _VOID:
             if name == "hr":
@@ -136,6 +135,9 @@ def blocks(page: str) -> list[Block]:
             else:
                 text.append(" ")
             continue
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] == "head":  # what belongs in a head was dealt with above
+                pop_to(i)
         if name in _CLOSES_P:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
@@ -163,11 +165,28 @@ def blocks(page: str) -> list[Block]:
         out = name in _OUT or (name == "header" and not inside) or nested or "hidden" in said or role in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog")
         own = _NOT_OWN.sub("", words) if words and name not in ("article", "main", "body", "html") else ""
         by_word = (at, all(_LAYOUT.fullmatch(x.strip(" \t\r\n\f-_")) for x in _OUT_WORD.findall(own))) if own and _OUT_WORD.search(own) else None
+        if name == "form" and not by_word:
+            by_word = (at, True)  # some page frameworks lay one form round the whole page
         stack.append((name, name + (f".{'.'.join(sorted(words.split()))}" if words else ""), out, article, by_word))
     end_block()
     return found
 
 
+def _after_raw(page: str, name: str, at: int) -> int:
+    """Where the page goes on after a raw element opened before ``at``.
+
+    One that is never closed takes the rest of the page if it holds code, the text
+    up to the next tag if it is a title, and nothing otherwise.
+    """
+    close = re.compile(rf"</{name}\s*(?:>|\Z)", re.I).search(page, at)
+    if close:
+        return close.end()
+    if name in ("script", "style"):
+        return len(page)
+    tag = page.find("<", at)
+    return (tag if tag >= 0 else len(page)) if name == "title" else at
+
+
 def path_ratios(found: list[Block], reach: int = 1) -> dict[str, float]:
     """By path in page order, the smoothed ratios of text and punctuation, fused."""
     paths = list(dict.fromkeys(b.path for b in found))
