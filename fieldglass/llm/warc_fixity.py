@@ -5,8 +5,9 @@ their offsets are the leaves of a tree, and each inner node hashes the hashes of
 range of ``fanout`` consecutive nodes below it.  Two replicas are compared from
 their roots; only children of nodes that differ are looked at on the next level,
 down to the records.  Nodes are rows, a level is one grouped hash over bounded
-groups, and a descent is a join with the mismatching parents, so neither a long
-file nor a damaged one gathers anywhere.
+groups, written once, and a descent is a join with the mismatching parents, so neither
+a long file nor a damaged one gathers anywhere.  Bytes after the last record of a
+file belong to no leaf and are looked for apart.
 """
 
 from __future__ import annotations
@@ -21,18 +22,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filesystem, ship
+from .common import Workspace, filesystem, ship, written
 from .grams import slices
 
 _INDEX = "shard int, seq long, offset long, length long, key long, n_bytes long, payload_sha256 string"
 _LEAVES = "shard int, seq long, hash string, n_bytes long, payload_sha256 string"
 _HEAD_END = re.compile(rb"\r\nWARC-Payload-Digest: sha256:([0-9a-f]{64})\r\nContent-Type: text/html\r\nContent-Length: (\d+)\r\n\r\n")
 
+#: What a header line cannot hold; it is percent-encoded.
+_UNSAFE = re.compile(r"[\x00-\x20\x7f]")
+
 
 def record(url: str | None, body: bytes, record_id: str) -> bytes:
     """One WARC/1.1 resource record as a gzip member."""
     digest = hashlib.sha256(body).hexdigest()
-    head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:{record_id}>\r\nWARC-Date: 2000-01-01T00:00:00Z\r\nWARC-Target-URI: {url or ''}\r\nWARC-Payload-Digest: sha256:{digest}\r\nContent-Type: text/html\r\nContent-Length: {len(body)}\r\n\r\n"
+    target = _UNSAFE.sub(lambda m: f"%{ord(m[0]):02X}", url or "")
+    head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:{record_id}>\r\nWARC-Date: 2000-01-01T00:00:00Z\r\nWARC-Target-URI: {target}\r\nWARC-Payload-Digest: sha256:{digest}\r\nContent-Type: text/html\r\nContent-Length: {len(body)}\r\n\r\n"
     return gzip.compress(head.encode() + body + b"\r\n\r\n", 1, mtime=0)
 
 
@@ -54,6 +59,9 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id") -> DataFrame
     """Write pages to WARC files, one a task; returns an index row per record.
 
     Runs when the result is used, so write the index to a table before reading on.
+    A null html is an empty body, a null url an empty target; keys may be null and
+    rows repeat, since every record has an id of its own file and place; other
+    columns are not looked at; an empty table writes no file.
     """
     ship(pages.sparkSession)
 
@@ -70,7 +78,7 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id") -> DataFrame
                 for k, url, html in zip(*(b.column(c).to_pylist() for c in (0, 1, 2))):
                     out = out or fs.open_output_stream(own)
                     body = (html or "").encode()
-                    data = record(url, body, str(uuid.uuid5(uuid.NAMESPACE_URL, f"{k} {seq} {url}")))
+                    data = record(url, body, str(uuid.uuid5(uuid.NAMESPACE_URL, f"{shard} {seq} {k} {url}")))
                     out.write(data)
                     rows.append((shard, seq, at, len(data), k, len(body), hashlib.sha256(body).hexdigest()))
                     at, seq = at + len(data), seq + 1
@@ -84,7 +92,10 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id") -> DataFrame
 
 
 def copy_replica(index: DataFrame, source: str, target: str, damage=None) -> DataFrame:
-    """Copy the files of a replica; ``damage(key)`` says which records get their last byte flipped (a drill)."""
+    """Copy the files of a replica; ``damage(key)`` says which records get their last byte flipped (a drill).
+
+    A task copies one file, record by record; an empty index copies nothing.
+    """
     ship(index.sparkSession)
 
     def run(t: pa.Table) -> pa.Table:
@@ -141,6 +152,32 @@ def parents(nodes: DataFrame, fanout: int) -> DataFrame:
     return nodes.groupBy("shard", F.floor(F.col("seq") / fanout).cast("long").alias("seq")).agg(F.sha2(F.array_join(F.transform(ordered, lambda x: x["hash"]), ""), 256).alias("hash"))
 
 
+def tails(index: DataFrame, folder: str) -> DataFrame:
+    """(shard, seq, hash, n_bytes) of what a replica's files hold after their last record; no row where there is nothing."""
+    ship(index.sparkSession)
+
+    def run(batches):
+        fs, base = filesystem(folder)
+        for b in batches:
+            for r in b.to_pylist():
+                try:
+                    f = fs.open_input_file(f"{base}/{r['shard']:06d}.warc.gz")
+                except OSError:
+                    continue
+                with f:
+                    size = f.size() - r["end"]
+                    if size <= 0:
+                        continue
+                    f.seek(r["end"])
+                    digest = hashlib.sha256()
+                    while part := f.read(4 << 20):
+                        digest.update(part)
+                yield pa.RecordBatch.from_arrays([pa.array([r["shard"]], pa.int32()), pa.array([r["n"]], pa.int64()), pa.array([digest.hexdigest()]), pa.array([size], pa.int64())], ["shard", "seq", "hash", "n_bytes"])
+
+    ends = index.groupBy("shard").agg(F.max(F.col("offset") + F.col("length")).alias("end"), F.max(F.col("seq") + 1).alias("n"))
+    return ends.mapInArrow(run, "shard int, seq long, hash string, n_bytes long")
+
+
 def mismatches(a: DataFrame, b: DataFrame, longest: int, fanout: int = 16) -> DataFrame:
     """(shard, seq) of records that differ between two replicas' leaves.
 
@@ -148,10 +185,11 @@ def mismatches(a: DataFrame, b: DataFrame, longest: int, fanout: int = 16) -> Da
     the trees.  Records that only one side has differ too, and so do records that
     neither can give.
     """
-    a, b = (x.withColumn("hash", F.coalesce("hash", F.lit(side))) for x, side in ((a, "none in a"), (b, "none in b")))
+    space = Workspace(a.sparkSession)
+    a, b = (x.select("shard", "seq", F.coalesce("hash", F.lit(side)).alias("hash")) for x, side in ((a, "none in a"), (b, "none in b")))
     levels, n = [(a, b)], longest
     while n > 1:
-        levels.append(tuple(parents(x, fanout) for x in levels[-1]))
+        levels.append(tuple(space.write(parents(x, fanout), "level") for x in levels[-1]))
         n = -(-n // fanout)
     found = None
     for x, y in reversed(levels):
@@ -169,11 +207,12 @@ def audit(index: DataFrame, replica_a: str, replica_b: str, fanout: int = 16) ->
     A record that a replica lacks or cannot give counts as different, also if both
     do; so does one whose body is not what the index says.  n_bytes and
     payload_sha256 are those of the record read back, from the second replica where
-    the first does not give it, and null where neither does.  An empty index gives
-    an empty result; keys may be null or repeat, since records go by shard and place.
+    the first does not give it, and null where neither does.  Bytes that a file of
+    either replica holds after its last record are one more 'mismatch' row of that
+    shard, with the place after the last, n_bytes of them and the other columns null.
+    An empty index gives an empty result; keys may be null or repeat, since records go
+    by shard and place.
     """
-    from .common import written
-
     a, b = (written(leaves(index, r), "leaves") for r in (replica_a, replica_b))
     longest = index.agg(F.max("seq")).first()[0]
     bad = mismatches(a, b, (longest or 0) + 1, fanout)
@@ -184,4 +223,7 @@ def audit(index: DataFrame, replica_a: str, replica_b: str, fanout: int = 16) ->
     status = F.when(F.col("_bad").isNull() & same, "ok").otherwise("mismatch")
     read = {"n_bytes": n, "payload_sha256": p}
     out = index.join(first, ["shard", "seq"], "left").join(second, ["shard", "seq"], "left")
-    return out.select(*[read.get(c, F.col(c)).alias(c) for c in index.columns], status.alias("status"))
+    out = out.select(*[read.get(c, F.col(c)).alias(c) for c in index.columns], status.alias("status"))
+    extra = tails(index, replica_a).unionByName(tails(index, replica_b)).groupBy("shard", "seq").agg(F.max("n_bytes").alias("n_bytes"))
+    shown = {"shard": F.col("shard"), "seq": F.col("seq"), "n_bytes": F.col("n_bytes")}
+    return out.unionByName(extra.select(*[shown.get(c, F.lit(None).cast(index.schema[c].dataType)).alias(c) for c in index.columns], F.lit("mismatch").alias("status")))
