@@ -1,10 +1,14 @@
 """The corpus operators on small tables with nulls, empties, repeats and clashing columns, against brute force."""
 
+import gzip
+import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fieldglass.llm import html_paths, line_quality, media_archive, mixing, near_dedup, packing, pii, span_dedup, token_records, tokens, warc_fixity
 from fieldglass.llm.common import scratch, written
@@ -40,6 +44,22 @@ def test_spans(docs):
     assert span_dedup.remove_repeats(empty(docs)).count() == 0
 
 
+def test_spans_are_glued_and_verified(spark):
+    r = random.Random(3)
+    words = [f"w{r.randrange(10**6)}" for _ in range(400)]
+    rows = [(1, " ".join(words)), (2, "x y z " + " ".join(words[50:350]) + " q"), (3, " ".join(words[:200]) + " cut " + " ".join(words[200:]))]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "docs")
+    pieces = span_dedup.repeated_paths(docs, chunk_bytes=1)
+    got = {tuple(x) for x in span_dedup.glued(pieces).collect()}
+    assert got == {(2, 3, 288, 1, 50), (3, 0, 188, 1, 0), (3, 201, 188, 1, 200)} and pieces.count() > 3
+    texts, paths = docs.withColumn("text", F.when(F.col("doc_id") > 1, F.col("text")).otherwise("other words")), written(span_dedup.glued(pieces), "paths")
+    said = {(x.source_id, x.source_start, x.n): x.digest for x in span_dedup.source_digests(texts, paths, 13).collect()}
+    run = {"start": 3, "n": 288, "digest": said[1, 50, 288]}
+    assert span_dedup._cut(rows[1][1], [run], 13)[1] == 0  # the source does not hold these words
+    true = {(x.source_id, x.source_start, x.n): x.digest for x in span_dedup.source_digests(docs, paths, 13).collect()}
+    assert span_dedup._cut(rows[1][1], [run | {"digest": true[1, 50, 288]}], 13)[1] == 300
+
+
 def test_near(docs):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs).collect() if r.doc_id is not None}
     assert got == near_dedup.brute_force([(r[0], r[1]) for r in corpus() if r[0] is not None])
@@ -77,11 +97,12 @@ def test_frequent_lines_leave_one_copy(spark):
 def test_packing(docs):
     path = tokenizer_file("byte_bpe_50k.json")
     got = packing.pack(docs, path, window=64).toPandas()
-    enc = tokens.encoder(path)
-    want = {(r[0], len(enc.ids([r[1]])[0]) // 4 + 1) for r in corpus() if r[0] is not None}
+    library = tokens.encoder(path).library
+    plain = lambda t: library.encode(t or "", add_special_tokens=False).ids
+    want = {(r[0], len(plain(r[1])) + 1) for r in corpus() if r[0] is not None}
     assert {(int(i), int(g.doc_tokens.iloc[0])) for i, g in got[got.doc_id.notna() & (got.doc_id != 7)].groupby("doc_id")} == {x for x in want if x[0] != 7}
     for i, g in got[got.doc_id.notna() & (got.doc_id != 7)].groupby("doc_id"):
-        ids = np.append(np.frombuffer(enc.ids([corpus()[int(i)][1]])[0], "<u4"), 0).astype("<u4")
+        ids = np.array([*plain(corpus()[int(i)][1]), 0], "<u4")
         g = g.sort_values("start")
         assert list(g.start) == [0, *g.length.cumsum()[:-1]] and g.length.sum() == len(ids)
         assert all(zlib.crc32(ids[a : a + n].tobytes()) == c for a, n, c in zip(g.start, g.length, g.ids_crc32))
@@ -121,11 +142,11 @@ def test_records(docs, spark):
     path, folder = tokenizer_file("word_bpe_49k.json"), scratch(spark, "rec")
     shards = token_records.write_records(docs, folder, path, 2)
     got = token_records.read_records(shards, folder).orderBy("start").collect()
-    enc, start = tokens.encoder(path), 0
+    library, start = tokens.encoder(path).library, 0
     rows = sorted(corpus(), key=lambda r: (r[0] is None, r[0] or 0))
     assert [r.doc_id for r in got] == [r[0] for r in rows]
     for r, q in zip(rows, got):
-        ids = np.append(np.frombuffer(enc.ids([r[1]])[0], "<u4"), 2).astype("<u4")
+        ids = np.array([*library.encode(r[1] or "", add_special_tokens=False).ids, 2], "<u4")
         assert (q.start, q.n_tokens, q.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     one = shards.first()
@@ -140,6 +161,26 @@ def test_records(docs, spark):
 def test_mixing(docs):
     got = mixing.mix(docs).toPandas()
     assert len(got) == len(corpus()) and (got.taken <= 3 * got["size"]).all()
+    sizes = {}
+    for r in corpus():
+        sizes[r[3]] = sizes.get(r[3], 0) + len((r[1] or "").split())
+    order = sorted((x for x in sizes if x is not None)) + [None]
+    weight, aim, free, left = {x: 1 + i % 3 for i, x in enumerate(order)}, {}, list(order), sum(sizes.values())
+    while free:  # by definition, one source that is over at a time
+        over = next((x for x in free if left * weight[x] / sum(weight[y] for y in free) > 3 * sizes[x]), free)
+        for x in free if over is free else [over]:
+            aim[x] = 3 * sizes[x] if over is not free else left * weight[x] / sum(weight[y] for y in free)
+        left -= aim[over] if over is not free else 0
+        free = [] if over is free else [x for x in free if x != over]
+    source = {(r[0], len((r[1] or "").split())): r[3] for r in corpus()}
+    got["source"] = [source[(None if np.isnan(i) else int(i), n)] for i, n in zip(got.doc_id, got["size"])]
+    for x, part in got.groupby("source", dropna=False):
+        x = None if x != x else x
+        longest = max(len((r[1] or "").split()) for r in corpus() if r[3] == x)
+        assert set(part.source_size) == {sizes[x]} and np.allclose(part.target, aim[x]) and abs(part.taken.sum() - aim[x]) <= longest
+    again = mixing.mix(docs.repartition(5)).toPandas()
+    key = lambda t: sorted(zip(t.doc_id.fillna(-1), t["size"], t.taken, t.shards))
+    assert key(got) == key(again)
     assert mixing.mix(empty(docs)).count() == 0
     assert mixing.targets({"b": 10, "a": 1, None: 10}) == {"a": 3.0, "b": 7.2, None: 10.8}
     table = mixing.split(np.array([5, 0, 17]), 4, 9)
@@ -162,8 +203,26 @@ def test_personal_data_rows(docs):
 
 
 def test_media(docs, spark):
-    got = media_archive.media_column(docs, scratch(spark, "media")).toPandas()
-    assert len(got) == len(corpus()) and (got.payload_bytes % 64 == 0).all() and got.payload_bytes.min() == 64
+    got = media_archive.media_column(docs, scratch(spark, "media")).collect()
+    want = []
+    for r in corpus():
+        raw = (r[1] or "").encode()
+        whole = raw + bytes(64 - len(raw) % 64 if len(raw) % 64 or not raw else 0)
+        want.append((r[0], len(raw), len(whole), hashlib.sha256(whole).hexdigest(), zlib.crc32(whole[-64:])))
+    assert Counter(tuple(r)[:5] for r in got) == Counter(want)
+    by = {}
+    for r in got:  # equal texts, equal values; the features from the samples by plain loops
+        assert by.setdefault(r.payload_sha256, tuple(r)[5:]) == tuple(r)[5:]
+    texts = {hashlib.sha256(media_archive.pad((r[1] or "").encode())).hexdigest(): media_archive.pad((r[1] or "").encode()) for r in corpus()}
+    for digest, (size, media, feature) in by.items():
+        stored = media_archive.encode_image(texts[digest], len(texts[digest].rstrip(b"\0")))
+        assert (len(stored), hashlib.sha256(stored).hexdigest()) == (size, media)
+        rows = [texts[digest][i : i + 64] for i in range(0, len(texts[digest]), 64)]
+        total, bits = sum(map(sum, rows)), ""
+        for y in range(8):
+            part = rows[y * len(rows) // 8 : max((y + 1) * len(rows) // 8, y * len(rows) // 8 + 1)]
+            bits += "".join("1" if sum(sum(x[8 * c : 8 * c + 8]) for x in part) * 64 * len(rows) > total * 8 * len(part) else "0" for c in range(8))
+        assert feature == f"64x{len(rows)}:{total * 1000 // (64 * len(rows))}:{int(bits, 2):016x}"
     assert media_archive.media_column(empty(docs), scratch(spark, "media")).count() == 0
     damaged = bytearray(media_archive.encode_image(bytes(64), 0))
     damaged[60] ^= 1
@@ -190,6 +249,23 @@ def test_audit(spark):
     assert warc_fixity.audit(index.where("false"), a, b).count() == 0
 
 
+def test_bytes_after_the_last_record(spark):
+    rows = [(None, "u\r\nX: y", "<p>1</p>"), (None, "u\r\nX: y", "<p>1</p>"), (2, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("shard", F.lit("own")).repartition(2)
+    a, b = scratch(spark, "a"), scratch(spark, "b")
+    index = written(warc_fixity.write_warc(pages, a), "index")
+    warc_fixity.copy_replica(index, a, b).collect()
+    assert {(r.key, r.status) for r in warc_fixity.audit(index, a, b).collect()} == {(None, "ok"), (2, "ok")}
+    heads = [gzip.decompress(open(f"{a}/{r.shard:06d}.warc.gz", "rb").read()[r.offset : r.offset + r.length]) for r in index.collect()]
+    assert len({h.split(b"\r\n")[2] for h in heads}) == 3 and not any(b"\r\nX: y" in h for h in heads)
+    shard = index.first().shard
+    for folder in (a, b):
+        with open(f"{folder}/{shard:06d}.warc.gz", "ab") as f:
+            f.write(b"junk!")
+    got = [r for r in warc_fixity.audit(index, a, b).collect() if r.status != "ok"]
+    assert [(r.shard, r.key, r.n_bytes) for r in got] == [(shard, None, 5)]
+
+
 def test_audit_of_what_neither_replica_gives(spark):
     import os
 
@@ -275,6 +351,18 @@ def test_what_puts_a_part_out(around):
     assert html_paths.main_text(page) == TALE
 
 
+def test_damaged_markup_loses_no_text():
+    assert html_paths.main_text(f"<head><title>Never closed<body><article><h1>Head</h1><p>{STORY[0]}</article>") == f"Head\n\n{STORY[0].strip()}"
+    assert html_paths.main_text(f"<article><p title=it's>{STORY[0]}</p><p>we don't stop, we go on.</p><p>{STORY[1]}</p></article>") == f"{STORY[0].strip()}\n\nwe don't stop, we go on.\n\n{STORY[1].strip()}"
+    assert html_paths.main_text(f"<article><svg><p>{STORY[0]}</article>") == STORY[0].strip()
+    assert html_paths.main_text(f"<article><p a=\"x>y\" b='>' c=\">{STORY[0]}</article>") == STORY[0].strip()
+
+
+def test_form_round_the_page_and_form_in_it():
+    page = f"<body><form action=/x><article>{''.join(f'<p>{p}' for p in STORY)}</article></form><form><p>Your name, please: <input></form></body>"
+    assert html_paths.main_text(page) == TALE
+
+
 def test_comments_longer_than_the_article():
     page = f"<body><div class=sidebar-page><article><p>{STORY[0]}</article></div><div class=comments>{''.join(f'<p>{p}' for p in STORY * 2)}</div></body>"
     assert html_paths.main_text(page) == STORY[0].strip()
