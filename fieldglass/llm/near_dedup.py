@@ -334,10 +334,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
         parts, grown = _joined(parts, new, own, percent, size, space)
         if not grown:
             break
-    left = _crossing(members.select("key", "rep"), reps, parts, own, percent, size, space)
+    left = pairs = _crossing(members.select("key", "rep"), reps, parts, own, percent, size, space)
     for x in tried:
         left = left.join(x, ["a", "b"], "left_anti")
-    parts, _ = _joined(parts, space.write(left, "crossing"), own, percent, size, space)
+    crossing = space.write(left, "crossing")
+    parts, _ = _joined(parts, crossing, own, percent, size, space)
+    space.drop(members, pairs, crossing, *tried)
     roots = reps.select("set", "rep").join(parts.select(F.col("node").alias("rep"), "root"), "rep", "left").select(F.col("set").alias("_set"), F.coalesce("root", "rep").alias("_root"))
     out = feats.join(roots, F.when(F.col("n") > 0, F.col("set")) == F.col("_set"), "left")
     part = F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id"))
