@@ -6,10 +6,14 @@ import atexit
 import gc
 import os
 import tempfile
+import time
 import uuid
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A word: a maximal run of characters other than space and \t\n\v\f\r.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -99,6 +103,12 @@ class Workspace:
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
+    def free(self) -> None:
+        """Let a large shuffle go that nothing refers to any more: what held it goes in a first round, it itself in a second."""
+        for _ in range(2):
+            self.drop()
+            time.sleep(0.5)
+
 
 def filesystem(path: str):
     """(pyarrow filesystem, path in it) of a path with or without a scheme."""
@@ -112,3 +122,33 @@ def filesystem(path: str):
 def partitions(spark: SparkSession) -> int:
     """The number of shuffle partitions now set."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def maybe_in(docs: DataFrame, ids: DataFrame, bits: int = 26) -> DataFrame:
+    """Rows whose doc_id may be in ``ids``, before texts are shuffled.
+
+    A bitmap of 2**bits hash places (8 MB at 26, whatever the input) goes to every
+    task.  It only ever lets too much through; the join that follows is exact.
+    """
+    spark = docs.sparkSession
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+
+    def fill(t: pa.Table) -> pa.Table:
+        field = np.zeros(1 << 16, np.uint8)
+        field[t.column("at").to_numpy() & 0xFFFF] = 1
+        return pa.table({"part": pa.array([t.column("part")[0].as_py()], pa.int32()), "field": pa.array([np.packbits(field).tobytes()], pa.binary())})
+
+    at = ids.select(place(F.col("doc_id")).alias("at")).select("at", F.shiftright("at", 16).cast("int").alias("part"))
+    fields = at.groupBy("part").applyInArrow(fill, "part int, field binary").collect()  # 2**(bits - 16) rows of 8 KB at most
+    full = np.zeros(1 << (bits - 3), np.uint8)
+    for r in fields:
+        full[r.part << 13 : (r.part + 1) << 13] = np.frombuffer(r.field, np.uint8)
+    sent = spark.sparkContext.broadcast(full.tobytes())
+
+    def keep(batches):
+        field = np.frombuffer(sent.value, np.uint8)
+        for b in batches:
+            i = b.column("at").to_numpy()
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text")], ["doc_id", "text"]).filter(pa.array((field[i >> 3] >> (7 - (i & 7)).astype(np.uint8)) & 1 == 1))
+
+    return docs.where("doc_id is not null").select("doc_id", "text", place(F.col("doc_id")).alias("at")).mapInArrow(keep, "doc_id long, text string")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, ship
+from .common import Workspace, maybe_in, ship
 from .grams import U, Words, _stream, mix, slices, strings
 
 _FEATURES = "doc_id long, n long, set binary, keys array<long>, signature binary"
@@ -131,40 +131,10 @@ def _passing(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
-def _maybe_in(docs: DataFrame, ids: DataFrame, bits: int = 26) -> DataFrame:
-    """Rows whose doc_id may be in ``ids``, before texts are shuffled.
-
-    A bitmap of 2**bits hash places (8 MB at 26, whatever the input) goes to every
-    task.  It only ever lets too much through; the join that follows is exact.
-    """
-    spark = docs.sparkSession
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
-
-    def fill(t: pa.Table) -> pa.Table:
-        field = np.zeros(1 << 16, np.uint8)
-        field[t.column("at").to_numpy() & 0xFFFF] = 1
-        return pa.table({"part": pa.array([t.column("part")[0].as_py()], pa.int32()), "field": pa.array([np.packbits(field).tobytes()], pa.binary())})
-
-    at = ids.select(place(F.col("doc_id")).alias("at")).select("at", F.shiftright("at", 16).cast("int").alias("part"))
-    fields = at.groupBy("part").applyInArrow(fill, "part int, field binary").collect()  # 2**(bits - 16) rows of 8 KB at most
-    full = np.zeros(1 << (bits - 3), np.uint8)
-    for r in fields:
-        full[r.part << 13 : (r.part + 1) << 13] = np.frombuffer(r.field, np.uint8)
-    sent = spark.sparkContext.broadcast(full.tobytes())
-
-    def keep(batches):
-        field = np.frombuffer(sent.value, np.uint8)
-        for b in batches:
-            i = b.column("at").to_numpy()
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text")], ["doc_id", "text"]).filter(pa.array((field[i >> 3] >> (7 - (i & 7)).astype(np.uint8)) & 1 == 1))
-
-    return docs.where("doc_id is not null").select("doc_id", "text", place(F.col("doc_id")).alias("at")).mapInArrow(keep, "doc_id long, text string")
-
-
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int, space: Workspace) -> DataFrame:
     """Of pairs (a, b) those linked on the full sets of their whole texts; written, and only ``pairs`` is left beside it."""
     ids = space.write(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    some = _maybe_in(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), ids)
+    some = maybe_in(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), ids)
     texts = space.write(some.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
     side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
@@ -241,7 +211,7 @@ def _more_stars(members: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
 
 def _short_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(rep, short): the low 32 bits of each shingle hash of the documents named."""
-    some = _maybe_in(docs, ids.select(F.col("rep").alias("doc_id"))).join(ids.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
+    some = maybe_in(docs, ids.select(F.col("rep").alias("doc_id"))).join(ids.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
 
     def run(batches):
         for b in batches:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Workspace, partitions, ship
+from .common import Workspace, maybe_in, partitions, ship
 from .grams import U, Words, mix, slices, strings
 
 _INDEX = "bucket int, size long, anchor binary, doc binary, at binary, count binary, back binary, tail binary"
@@ -228,7 +228,7 @@ def source_digests(texts: DataFrame, paths: DataFrame, k: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["source_id", "source_start", "n", "digest"])
 
-    both = texts.join(asked, F.col("doc_id") == F.col("source_id")).select("doc_id", "text", "spans")
+    both = maybe_in(texts, paths.select(F.col("source_id").alias("doc_id"))).join(asked, F.col("doc_id") == F.col("source_id")).select("doc_id", "text", "spans")
     return both.mapInArrow(read, "source_id long, source_start int, n int, digest binary")
 
 
@@ -266,11 +266,11 @@ def remove_repeats(docs: DataFrame, k: int = 13, anchor: int = 5) -> DataFrame:
     the input are not looked at.
 
     The paths are written to the shared folder; the shuffle that built them is
-    then freed, and texts are shuffled once for both joins with them.
+    then freed.  All texts are shuffled once, those of sources once more.
     """
     space = Workspace(docs.sparkSession)
     paths = space.write(glued(repeated_paths(docs, k, anchor)), "paths")
-    space.drop()
+    space.free()
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = own.where("doc_id is not null")
     runs = paths.join(source_digests(texts, paths, k), ["source_id", "source_start", "n"])
