@@ -12,29 +12,68 @@ def term_count(text: Column, term: str) -> Column:
     return ((F.length(text) - F.length(F.replace(text, F.lit(term), F.lit("")))) / len(term)).cast("long")
 
 
-def bm25(docs: DataFrame, key: str, text: str, title: str, words: list[str], k: int = 5, k1: float = 1.5, b: float = 0.75, boost: float = 1.2) -> DataFrame:
+def word_total(text: Column) -> Column:
+    """Words between white space."""
+    return F.regexp_count(text, F.lit(r"[^ \t\n\r\f\x0B]+"))
+
+
+def bm25(docs: DataFrame, key: str, text: str, title: str, words: list[str], k: int = 5, k1: float = 1.5, b: float = 0.75, boost: float = 1.2, where: Column | None = None) -> DataFrame:
     """Top k of the documents that hold any of the words; all statistics are over these documents.
 
-    A word in the title multiplies what has been gathered up to then, so the
-    order of words matters.  Ties go to the smaller key.
+    Words are looked for in title and text together, as parts of words too, and
+    lengths count their words.  A word found in the title multiplies what has been
+    gathered up to then, so the order of words matters.  A missing title reads
+    'None' where words are counted, and nothing where documents are.  ``where``
+    (filters, see ``chunk_filter``) applies before the statistics.  Ties go to the
+    smaller key.
     """
     words = [w.lower() for w in words]
-    body, head = F.lower(F.coalesce(text, F.lit(""))), F.lower(F.coalesce(title, F.lit("None")))
+    body, head = F.coalesce(F.col(text), F.lit("")), F.lower(F.coalesce(F.col(title), F.lit("")))
+    whole = F.lower(F.concat(F.coalesce(F.col(title), F.lit("")), F.lit(" "), body))
+    named = F.lower(F.concat(F.coalesce(F.col(title), F.lit("None")), F.lit(" "), body))
     hit = F.lit(False)
     for w in words:
-        hit = hit | body.contains(w) | head.contains(w)
-    own = docs.where(hit).select(F.col(key).alias("key"), head.alias("head"), F.length(body).alias("len"), *[term_count(body, w).alias(f"tf{i}") for i, w in enumerate(words)])
-    stats = own.agg(F.count("*").alias("n"), F.avg("len").alias("avg"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(words))])
+        hit = hit | F.lower(body).contains(w) | head.contains(w)
+    own = docs.where(hit if where is None else hit & where)
+    own = own.select(F.col(key).alias("key"), head.alias("head"), word_total(whole).alias("len0"), word_total(named).alias("len"), *[term_count(named, w).alias(f"tf{i}") for i, w in enumerate(words)], *[whole.contains(w).alias(f"in{i}") for i, w in enumerate(words)])
+    stats = own.agg(F.count("*").alias("n"), F.greatest(F.coalesce(F.avg("len0"), F.lit(0.0)), F.lit(1.0)).alias("avg"), *[F.count_if(f"in{i}").alias(f"df{i}") for i in range(len(words))])
     x = own.crossJoin(F.broadcast(stats))
     score = F.lit(0.0)
     for i, w in enumerate(words):
         tf, df = F.col(f"tf{i}"), F.col(f"df{i}")
         idf = F.greatest(F.lit(0.0), F.log((F.col("n") - df + 0.5) / (df + 0.5) + 1))
-        score = score + F.when(tf > 0, idf * (tf * (k1 + 1)) / (tf + k1 * (1 - b + b * F.col("len") / F.col("avg")))).otherwise(0.0)
-        score = F.when(F.col("head").contains(w), score * boost).otherwise(score)
+        more = score + idf * (tf * (k1 + 1)) / (tf + k1 * (1 - b + b * F.col("len") / F.col("avg")))
+        score = F.when(tf > 0, F.when(F.col("head").contains(w), more * boost).otherwise(more)).otherwise(score)
     return x.select("key", F.round(score, 6).alias("score")).orderBy(F.desc("score"), "key").limit(k)
 
 
+# Document categories that a public category stands for.
+CATEGORIES = {
+    "press_release": ["press_release", "notice"],
+    "milestone": ["milestone", "player_milestone"],
+    "futures_schedule": ["futures_schedule", "futures_game"],
+    "player_splits": ["player_splits", "split", "player_split"],
+    "stadium_facility": ["stadium_facility", "stadium_food", "stadium_ticket"],
+}
+
+
+def chunk_filter(category: str | None = None, contains: dict[str, str] | None = None, **equal) -> Column:
+    """Rows that may be found: status ACTIVE (or none) or INDEXED, the category or one it stands for, exact values, words in title or text.
+
+    A row without the value asked for does not match.
+    """
+    out = F.coalesce("index_status", F.lit("ACTIVE")).isin("ACTIVE", "INDEXED")
+    if category:
+        out = out & F.coalesce(F.col("category").isin(*CATEGORIES.get(category, [category])), F.lit(False))
+    for c, v in equal.items():
+        if v is not None:
+            out = out & F.coalesce(F.col(c) == F.lit(v), F.lit(False))
+    text = F.lower(F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("content", F.lit(""))))
+    for word in (contains or {}).values():
+        out = out & text.contains(word.lower())
+    return out
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two arrays as double; NULL where one has no length."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
@@ -42,12 +81,56 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(size > 0, dot(a, b) / size)
 
 
-def cosine_topk(items: DataFrame, queries: DataFrame, key: str, vector: str, query_key: str, query_vector: str, k: int = 5) -> DataFrame:
-    """Exact top k by cosine for each row of a small, stated set of queries; NULL vectors are left out."""
-    both = items.where(F.col(vector).isNotNull()).crossJoin(F.broadcast(queries.select(F.col(query_key).alias("query_id"), F.col(query_vector).alias("_q"))))
-    scored = both.select("query_id", F.col(key).alias("item_id"), F.round(cosine(F.col(vector), F.col("_q")), 6).alias("score"))
+def cosine_topk(items: DataFrame, queries: DataFrame, key: str, vector: str, query_key: str, query_vector: str, k: int = 5, digits: int = 6, block: int = 4096) -> DataFrame:
+    """Exact top k by cosine for each row of a stated set of queries, against all items.
+
+    Queries are sent to the tasks in blocks of at most ``block`` vectors, so what a
+    task holds does not grow with their number; a task keeps k items a query and
+    batch of items.  Vectors that are NULL, hold NULL, have no length or another
+    number of dimensions find nothing.  Ties go to the smaller item.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    spark = items.sparkSession
+    asked = queries.where(F.col(query_vector).isNotNull()).select(F.col(query_key).alias("q"), F.transform(F.col(query_vector), lambda v: v.cast("double")).alias("v"))
+    total = asked.count()
+    blocks = max(1, -(-total // block))
+    kind = f"query_id {queries.schema[query_key].dataType.simpleString()}, item_id {items.schema[key].dataType.simpleString()}, score double"
+
+    def unit(column):
+        rows = [np.asarray(x, float) if x is not None and None not in x else np.zeros(0) for x in column.to_pylist()]
+        size = max(map(len, rows), default=0)
+        out = np.zeros((len(rows), size))
+        for i, r in enumerate(rows):
+            if len(r) == size:
+                out[i] = r
+        length = np.sqrt((out * out).sum(1))
+        return out / np.where(length > 0, length, 1)[:, None], length > 0
+
+    found = None
+    for i in range(blocks):
+        part = (asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == i)).toArrow()
+        sent = spark.sparkContext.broadcast((part.column("q").combine_chunks(), *unit(part.column("v").combine_chunks())))
+
+        def score(batches, sent=sent):
+            ids, q, real = sent.value
+            for b in batches:
+                own, fine = unit(b.column("v"))
+                if not len(own) or not len(ids) or own.shape[1] != q.shape[1]:
+                    continue
+                s = np.round(own @ q.T, digits)
+                s[~fine] = -np.inf
+                best = np.argsort(-s, axis=0, kind="stable")[:k]
+                rows, cols = best.ravel(), np.tile(np.arange(len(ids)), len(best))
+                ok = real[cols] & np.isfinite(s[rows, cols])
+                rows, cols = rows[ok], cols[ok]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(cols)), b.column("key").take(pa.array(rows)), pa.array(s[rows, cols])], ["query_id", "item_id", "score"])
+
+        own = items.where(F.col(vector).isNotNull()).select(F.col(key).alias("key"), F.transform(F.col(vector), lambda v: v.cast("double")).alias("v")).sortWithinPartitions("key").mapInArrow(score, kind)
+        found = own if found is None else found.unionByName(own)
     w = W.partitionBy("query_id").orderBy(F.desc("score"), "item_id")
-    return scored.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
 
 
 def rrf(sparse: DataFrame, dense: DataFrame, k: int = 2, weight: float = 2.0) -> DataFrame:

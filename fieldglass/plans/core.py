@@ -383,28 +383,30 @@ def x21(t: Tables):
     return t.embeddings.select("vec_id", F.round(F.aggregate(F.zip_with(e, e, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v), 4).alias("norm2"))
 
 
-_BM25 = """(SELECT doc_id AS key, lower(source) AS head, length(text) AS len, CAST((length(lower(text)) - length(replace(lower(text), 'license', ''))) / 7 AS BIGINT) AS tf0,
-    CAST((length(lower(text)) - length(replace(lower(text), 'token', ''))) / 5 AS BIGINT) AS tf1 FROM documents WHERE contains(lower(text), 'license') OR contains(lower(text), 'token') OR contains(lower(source), 'license') OR contains(lower(source), 'token'))"""
+_HEAD = "CASE WHEN doc_id % 10 = 0 THEN 'License and token' WHEN doc_id % 10 = 1 THEN NULL WHEN doc_id % 10 = 2 THEN 'A token' ELSE source END"
+_TF = lambda w: f"(length(t) - length(replace(t, '{w}', ''))) // {len(w)}"
+_BM25 = f"""d AS (SELECT doc_id AS key, {_HEAD} AS title, coalesce(text, '') AS body FROM documents), p AS (SELECT *, lower(coalesce(title, '') || ' ' || body) AS u, lower(coalesce(title, 'None') || ' ' || body) AS t, lower(coalesce(title, '')) AS head FROM d),
+    c AS (SELECT key, head, {_TF('license')} AS tf0, {_TF('token')} AS tf1, contains(u, 'license') AS i0, contains(u, 'token') AS i1, len(regexp_extract_all(u, '[^ \\t\\n\\r\\f\\x0B]+')) AS l0, len(regexp_extract_all(t, '[^ \\t\\n\\r\\f\\x0B]+')) AS len FROM p WHERE contains(lower(body), 'license') OR contains(lower(body), 'token') OR contains(head, 'license') OR contains(head, 'token')),
+    s AS (SELECT count(*) AS n, greatest(avg(l0), 1) AS a, count(*) FILTER (i0) AS d0, count(*) FILTER (i1) AS d1 FROM c),
+    x AS (SELECT *, CASE WHEN tf0 > 0 THEN greatest(0.0, ln((n - d0 + 0.5) / (d0 + 0.5) + 1)) * (tf0 * 2.5) / (tf0 + 1.5 * (0.25 + 0.75 * len / a)) * CASE WHEN contains(head, 'license') THEN 1.2 ELSE 1 END ELSE 0.0 END AS s0 FROM c, s)"""
 
 
 @query(
     "k01_bm25",
-    f"""WITH c AS {_BM25}, s AS (SELECT count(*) AS n, avg(len) AS a, count(*) FILTER (tf0 > 0) AS d0, count(*) FILTER (tf1 > 0) AS d1 FROM c)
-    SELECT key, round(CASE WHEN tf0 > 0 THEN greatest(0.0, ln((n - d0 + 0.5) / (d0 + 0.5) + 1)) * (tf0 * 2.5) / (tf0 + 1.5 * (0.25 + 0.75 * len / a)) ELSE 0.0 END
-        + CASE WHEN tf1 > 0 THEN greatest(0.0, ln((n - d1 + 0.5) / (d1 + 0.5) + 1)) * (tf1 * 2.5) / (tf1 + 1.5 * (0.25 + 0.75 * len / a)) ELSE 0.0 END, 6) AS score
-    FROM c, s ORDER BY score DESC, key LIMIT 20""",
+    f"""WITH {_BM25} SELECT key, round(CASE WHEN tf1 > 0 THEN (s0 + greatest(0.0, ln((n - d1 + 0.5) / (d1 + 0.5) + 1)) * (tf1 * 2.5) / (tf1 + 1.5 * (0.25 + 0.75 * len / a))) * CASE WHEN contains(head, 'token') THEN 1.2 ELSE 1 END ELSE s0 END, 6) AS score FROM x ORDER BY score DESC, key LIMIT 20""",
 )
 def k01(t: Tables):
-    return retrieval.bm25(t.documents, "doc_id", "text", "source", ["license", "token"], 20)
+    return retrieval.bm25(t.documents.withColumn("title", F.expr(_HEAD)), "doc_id", "text", "title", ["license", "token"], 20)
 
 
 @query(
     "k04_cosine_topk",
     """SELECT query_id, item_id, score, CAST(rank AS INT) AS rank FROM (SELECT q.vec_id AS query_id, e.vec_id AS item_id, s.score, row_number() OVER (PARTITION BY q.vec_id ORDER BY s.score DESC, e.vec_id) AS rank
-        FROM embeddings e, embeddings q, LATERAL (SELECT round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS score) s WHERE q.vec_id < 5) WHERE rank <= 5""",
+        FROM embeddings e, embeddings q, LATERAL (SELECT round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS score) s WHERE q.vec_id % 50 = 0) WHERE rank <= 5""",
 )
 def k04(t: Tables):
-    return retrieval.cosine_topk(t.embeddings, t.embeddings.where("vec_id < 5"), "vec_id", "embedding", "vec_id", "embedding", 5)
+    """Queries are the ids divisible by 50, against all rows."""
+    return retrieval.cosine_topk(t.embeddings, t.embeddings.where("vec_id % 50 = 0"), "vec_id", "embedding", "vec_id", "embedding", 5)
 
 
 @query(
