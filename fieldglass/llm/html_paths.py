@@ -50,7 +50,7 @@ _OUT_WORD = re.compile(
     r"(?:^|[-_\s])(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|foot(?:er)?|side(?:bar)?|aside|widget\w*|cookie\w*|consent|gdpr|notice|popup|modal|newsletter|subscri\w*|share|sharing|social|related|recommend\w*|comments?|respond|reply|replies|disqus|login|signup|search|copyright|masthead|skip)(?:$|[-_\s])",
     re.I,
 )
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)?)*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>=]*(?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)?[^>=]*)*)(?:>|\Z)", re.S)
 #: An attribute with its whole name; values are passed over, so nothing inside them is a name.
 _ATTRIBUTE = re.compile(r"([^\s\"'/=>][^\s/=>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
 #: What a layout word says of something else: no-sidebar, has-sidebar, content-with-menu.
