@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -72,3 +72,9 @@ def chunk_semantic(sentences: DataFrame, key: str, order: str, text: str, vector
     rows = sentences.withColumn("_cut", cut).withColumn("n", F.sum("_cut").over(w.rowsBetween(W.unboundedPreceding, 0)).cast("int"))
     parts = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
     return rows.groupBy(key, "n").agg(F.array_join(F.transform(parts, lambda x: x["t"]), " ").alias("chunk"))
+
+
+def row_sentence(name: str, season: str, fields: list[str]) -> Column:
+    """"name season: field=value, ..." of a row; fields without a value are left out."""
+    pairs = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for c in fields]))
+    return F.concat(F.col(name).cast("string"), F.lit(" "), F.col(season).cast("string"), F.lit(": "), F.array_join(pairs, ", "))

@@ -139,3 +139,32 @@ def rrf(sparse: DataFrame, dense: DataFrame, k: int = 2, weight: float = 2.0) ->
     d = dense.select("query_id", "item_id", F.col("rank").alias("rd"))
     part = lambda r, w: F.coalesce(F.lit(w) / (F.lit(float(k)) + F.col(r)), F.lit(0.0))
     return s.join(d, ["query_id", "item_id"], "full").select("query_id", "item_id", F.round(part("rs", 1.0) + part("rd", weight), 6).alias("score"))
+
+
+def evaluate(top: DataFrame, asked: DataFrame, relevant: DataFrame, k: int) -> DataFrame:
+    """By query: found, recall, precision (of k), reciprocal rank of the first hit, hit.
+
+    ``asked`` has query_id and relevant (how many there are), ``relevant`` the pairs
+    that count; a query without hits has zeros.
+    """
+    good = top.where(F.col("rank") <= k).join(relevant.distinct(), ["query_id", "item_id"]).groupBy("query_id").agg(F.count("*").alias("found"), F.min("rank").alias("first"))
+    x = asked.join(good, "query_id", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    recall = F.when(F.col("relevant") > 0, F.col("found") / F.col("relevant")).otherwise(0.0)
+    return x.select("query_id", "found", F.round(recall, 6).alias("recall"), (F.col("found") / F.lit(float(k))).alias("precision"), F.coalesce(1.0 / F.col("first"), F.lit(0.0)).alias("reciprocal"), (F.col("found") > 0).alias("hit"))
+
+
+def nearest_rank(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
+    """Nearest-rank percentiles in one row: the least value whose running count reaches the share.
+
+    Counts by value are summed in one window, so it sees values and not rows.
+    """
+    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("total"))
+    x = counts.crossJoin(F.broadcast(total)).withColumn("upto", F.sum("n").over(W.orderBy(column)))
+    return x.agg(*[F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * share), F.col(column))).alias(name) for name, share in shares.items()])
+
+
+def cache_hits(docs: DataFrame, key: str, text: str, store: DataFrame) -> DataFrame:
+    """(key, hit): whether the hash of a text is among the hashes ``h`` of the store; hashes are shuffled, texts are not."""
+    own = docs.select(key, F.sha2(F.col(text), 256).alias("h"))
+    return own.join(store.select("h", F.lit(True).alias("_hit")), "h", "left").select(key, F.coalesce("_hit", F.lit(False)).alias("hit"))

@@ -2,8 +2,21 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_ROOT = str(Path(__file__).resolve().parents[1])
+
+
+def ship(spark: SparkSession | None = None) -> None:
+    """Let Python workers import this package from where the driver has it; on a cluster pass it with ``--py-files``."""
+    env = (spark or SparkSession.getActiveSession()).sparkContext.environment
+    parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in parts:
+        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *parts])
+
 
 def session(name: str = "fieldglass", master: str | None = None, **conf: str) -> SparkSession:
     """A session in UTC with adaptive execution; ``conf`` overrides anything."""
