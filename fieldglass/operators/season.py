@@ -201,3 +201,60 @@ def merge_matchups(old: DataFrame, new: DataFrame, keys: list[str], counts: list
     both = old.select(*keys, *[F.col(c).alias(f"old_{c}") for c in counts]).join(new.select(*keys, *counts), keys, "full")
     value = lambda c: num(f"old_{c}") + num(c) if accumulate else F.coalesce(c, f"old_{c}")
     return both.select(*keys, *[value(c).cast("long").alias(c) for c in counts])
+
+
+PEER_METRICS = ("avg", "obp", "slg", "ops", "home_runs", "rbi", "hits")
+
+
+def against_peers(rows: DataFrame, peers: str, least_pa: int = 10) -> DataFrame:
+    """By player, each metric's distance to the mean of those with the same ``peers`` value and enough plate appearances.
+
+    Rates are whole thousandths while they are averaged, so no order of rows shows.
+    """
+    milli = lambda c: F.round(F.col(c) * 1000).cast("long") if c in PEER_METRICS[:4] else F.col(c).cast("long")
+    means = rows.where(F.col("plate_appearances") >= least_pa).groupBy(peers).agg(F.count("*").alias("_n"), *[F.sum(milli(c)).alias(f"_{c}") for c in PEER_METRICS])
+    x = rows.select("player_id", peers, *[milli(c).alias(c) for c in PEER_METRICS]).join(means, peers, "left")
+    off = lambda c: F.when(F.col("_n") > 0, F.round(F.col(c) - F.col(f"_{c}") / F.col("_n"), 1) / F.lit(1000.0 if c in PEER_METRICS[:4] else 1.0))
+    return x.select("player_id", peers, *[off(c).alias(f"{c}_off") for c in PEER_METRICS])
+
+
+def recent_teams(games: DataFrame, batting_lines: DataFrame, pitching_lines: DataFrame, n: int = 5) -> DataFrame:
+    """By team over its last ``n`` games (team, game_id, date): avg, era, and the bullpen's era, whip and innings.
+
+    avg and era are 0 without a base for them, the bullpen's rates NULL.
+    """
+    from pyspark.sql import Window as W
+
+    last = games.withColumn("rn", F.row_number().over(W.partitionBy("team_code").orderBy(F.desc("date"), F.desc("game_id")))).where(F.col("rn") <= n).select("team_code", "game_id")
+    used = last.groupBy("team_code").agg(F.count("*").alias("sample_games"))
+    b = batting_lines.join(last, ["team_code", "game_id"], "left_semi").groupBy("team_code").agg(*sums(["hits", "at_bats"])).select("team_code", rates.rate("hits", "at_bats", 3).alias("avg"))
+    own = pitching_lines.join(last, ["team_code", "game_id"], "left_semi")
+    pen = lambda c: F.coalesce(F.sum(F.when(~F.col("is_starting"), num(c))), F.lit(0)).cast("long").alias(f"pen_{c}")
+    p = own.groupBy("team_code").agg(*sums(["earned_runs", "innings_outs"]), *[pen(c) for c in ("earned_runs", "hits_allowed", "walks_allowed", "innings_outs")])
+    p = p.select("team_code", rates.rate("27 * earned_runs", "innings_outs", 2).alias("era"), rates.rate("27 * pen_earned_runs", "pen_innings_outs", 2, None).alias("bullpen_era"), rates.rate("3 * (pen_hits_allowed + pen_walks_allowed)", "pen_innings_outs", 2, None).alias("bullpen_whip"), rates.rate("pen_innings_outs", "3", 1).alias("bullpen_ip"))
+    return used.join(b, "team_code", "left").join(p, "team_code", "left").na.fill(0.0, ["avg", "era", "bullpen_ip"])
+
+
+def qualifiers(games: DataFrame) -> DataFrame:
+    """By season (season, date): days with games, least plate appearances and outs to qualify, as of 144 games at most."""
+    g = games.groupBy("season").agg(F.count_distinct("date").alias("games"))
+    n = F.least("games", F.lit(144))
+    full = F.col("games") >= 144
+    pa, outs = F.expr("least(games, 144) * 31 div 10"), n * 3
+    return g.select("season", "games", F.when(full, pa).otherwise(F.greatest(pa, F.lit(30))).cast("long").alias("min_pa"), F.when(full, outs).otherwise(F.greatest(outs, F.lit(90))).cast("long").alias("min_outs"))
+
+
+def coverage(games: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
+    """By day: completed games, those with each part, and the share of those with all, to three places.
+
+    ``games`` has game_id, date and completed; a part has game_id.
+    """
+    x = games
+    for name, df in parts.items():
+        x = x.join(df.select("game_id", F.lit(True).alias(name)).distinct(), "game_id", "left")
+    every = F.lit(True)
+    for name in parts:
+        every = every & F.coalesce(name, F.lit(False))
+    done = F.col("completed")
+    by = x.groupBy("date").agg(F.count("*").alias("total"), F.count_if(done).alias("done"), F.count_if(done & every).alias("full"), *[F.count_if(done & F.coalesce(c, F.lit(False))).alias(f"with_{c}") for c in parts])
+    return by.select("*", rates.rate("full", "done", 3).alias("detail_coverage"), rates.rate("done", "total", 3).alias("completion_rate"))

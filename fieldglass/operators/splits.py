@@ -26,3 +26,24 @@ def park_factor(games: DataFrame, park: str, runs: str, default_rate: float = 10
     for bound, name in reversed(PARK_BANDS):
         label = F.when(factor > bound, name).otherwise(label)
     return by.crossJoin(F.broadcast(total)).select("park", "games", F.round(rate, 4).alias("rate"), F.round(factor, 4).alias("factor"), label.alias("label"))
+
+
+def park_table(games: DataFrame, park: str, home: str, away: str, default_rate: float = 10.0) -> DataFrame:
+    """Per park: games, runs of both sides, rates of park and league and the factor, to three places, and its label.
+
+    Runs are whole numbers; games without either score are left out; a NULL park is
+    'UNKNOWN'.
+    """
+    known = games.where(F.col(home).isNotNull() & F.col(away).isNotNull()).select(F.coalesce(F.col(park), F.lit("UNKNOWN")).alias("park"), F.col(home).cast("long").alias("h"), F.col(away).cast("long").alias("a"))
+    by = known.groupBy("park").agg(F.count("*").alias("games"), F.sum("h").alias("home_runs"), F.sum("a").alias("away_runs"))
+    total = by.agg(F.sum("games").alias("g"), F.sum(F.col("home_runs") + F.col("away_runs")).alias("t"))
+    x = by.crossJoin(F.broadcast(total)).withColumn("total_runs", F.col("home_runs") + F.col("away_runs"))
+    third = lambda a, b: F.expr(f"CAST((2000 * ({a}) + ({b})) div (2 * ({b})) AS DOUBLE) / 1000")
+    factor = F.col("total_runs").cast("double") * F.col("g") / (F.col("games") * F.col("t"))
+    label = F.lit("extreme pitcher")
+    for bound, name in reversed(PARK_BANDS):
+        label = F.when(factor > bound, name).otherwise(label)
+    return x.select(
+        "park", "games", "home_runs", "away_runs", "total_runs", third("total_runs", "games").alias("runs_per_game"), F.coalesce(F.when(F.col("g") > 0, third("t", "g")), F.lit(default_rate)).alias("league_rate"),
+        F.when(F.col("t") > 0, third("total_runs * g", "games * t")).otherwise(1.0).alias("factor"), F.when(F.col("t") > 0, label).otherwise("neutral").alias("label"),
+    )
