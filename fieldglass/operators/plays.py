@@ -12,9 +12,20 @@ from pyspark.sql import functions as F
 
 from ..functions import play_text as text
 
-BY = W.partitionBy("game_id").orderBy("event_seq")
-BEFORE = BY.rowsBetween(W.unboundedPreceding, -1)
-SO_FAR = BY.rowsBetween(W.unboundedPreceding, 0)
+
+def by():
+    """The order of a game's events; made inside operators, since a window needs a session."""
+    return W.partitionBy("game_id").orderBy("event_seq")
+
+
+def before():
+    return by().rowsBetween(W.unboundedPreceding, -1)
+
+
+def so_far():
+    return by().rowsBetween(W.unboundedPreceding, 0)
+
+
 # Runs to be expected by outs (rows) and bases taken (columns, bits 1, 2, 4).
 RUN_EXPECTANCY = [
     [0.48, 0.85, 1.10, 1.43, 1.35, 1.75, 1.96, 2.30],
@@ -86,9 +97,9 @@ def transitions(events: DataFrame, matrix: DataFrame, only_missing: bool = False
     ok = F.col("inning").isNotNull() & F.col("inning_half").isin("top", "bottom") & F.col("outs").isNotNull() & (F.trim(F.coalesce("description", F.lit(""))) != "")
     ok = ok & F.col("home_score").isNotNull() & F.col("away_score").isNotNull() & F.col("runners").isNotNull()
     x = events.where(ok).withColumn("score_diff", F.col("home_score") - F.col("away_score")).withColumn("is_bottom", F.col("inning_half") == "bottom")
-    same = (F.lag("inning").over(BY) == F.col("inning")) & (F.lag("inning_half").over(BY) == F.col("inning_half"))
-    held = lambda c: F.coalesce(F.when(same, F.lag(c).over(BY)), F.lit(0))
-    x = x.withColumn("outs_before", held("outs")).withColumn("runners_before", held("runners")).withColumn("diff_before", F.coalesce(F.lag("score_diff").over(BY), F.lit(0)))
+    same = (F.lag("inning").over(by()) == F.col("inning")) & (F.lag("inning_half").over(by()) == F.col("inning_half"))
+    held = lambda c: F.coalesce(F.when(same, F.lag(c).over(by())), F.lit(0))
+    x = x.withColumn("outs_before", held("outs")).withColumn("runners_before", held("runners")).withColumn("diff_before", F.coalesce(F.lag("score_diff").over(by()), F.lit(0)))
     x = win_probability(x, matrix, "_before", "inning", "is_bottom", "outs_before", "runners_before", "diff_before")
     x = win_probability(x, matrix, "_after", "inning", "is_bottom", "outs", "runners", "score_diff")
     value = {"we_before": F.col("_before"), "we_after": F.col("_after"), "wpa": wpa(F.col("_before"), F.col("_after"), F.col("is_bottom"))}
@@ -102,9 +113,9 @@ def timeline(plays: DataFrame, matrix: DataFrame) -> DataFrame:
     """Win probability play by play from innings and halves alone: one out, nobody on, no score."""
     x = plays.select("*", F.lit(1).alias("_outs"), F.lit(0).alias("_runners"), F.lit(0).alias("_diff"), (F.col("inning_half") == "bottom").alias("_bottom"))
     x = win_probability(x, matrix, "home_win_prob", "inning", "_bottom", "_outs", "_runners", "_diff")
-    last = F.coalesce(F.lag("home_win_prob").over(BY), F.lit(0.5))
+    last = F.coalesce(F.lag("home_win_prob").over(by()), F.lit(0.5))
     change = F.when(F.col("_bottom"), F.col("home_win_prob") - last).otherwise(last - F.col("home_win_prob"))
-    return x.select("game_id", "event_seq", F.row_number().over(BY).alias("place"), "home_win_prob", F.round(change, 4).alias("wpa"))
+    return x.select("game_id", "event_seq", F.row_number().over(by()).alias("place"), "home_win_prob", F.round(change, 4).alias("wpa"))
 
 
 def highlights(events: DataFrame, least: float = LEAST_WPA) -> DataFrame:
@@ -114,7 +125,7 @@ def highlights(events: DataFrame, least: float = LEAST_WPA) -> DataFrame:
     tags add, and 0.01 an inning.
     """
     home, away = F.coalesce("home_score", F.lit(0)), F.coalesce("away_score", F.lit(0))
-    x = events.withColumn("after", home - away).withColumn("before", F.coalesce(F.lag("after").over(BY), F.lit(0)))
+    x = events.withColumn("after", home - away).withColumn("before", F.coalesce(F.lag("after").over(by()), F.lit(0)))
     d, size = F.coalesce("description", F.lit("")), F.abs(F.coalesce("wpa", F.lit(0.0)))
     inning = F.when(F.coalesce("inning", F.lit(0)) != 0, F.col("inning")).otherwise(F.lit(1))
     off = ((inning >= 9) & (F.col("inning_half") == "bottom") & (F.col("before") <= 0) & (F.col("after") > 0)) | d.contains("끝내기")
@@ -139,7 +150,7 @@ def turning_points(events: DataFrame, n: int = 5) -> DataFrame:
         band = F.when(size >= least, name).otherwise(band)
     top = W.partitionBy("game_id").orderBy(size.desc(), F.col("event_seq"))
     x = events.withColumn("rn", F.row_number().over(top)).where(F.col("rn") <= n)
-    return x.select("game_id", "event_seq", F.row_number().over(BY).alias("place"), "wpa", band.alias("impact"))
+    return x.select("game_id", "event_seq", F.row_number().over(by()).alias("place"), "wpa", band.alias("impact"))
 
 
 def story(events: DataFrame, finals: DataFrame, most: int = STORY_MOST, least: int = STORY_LEAST) -> DataFrame:
@@ -150,10 +161,10 @@ def story(events: DataFrame, finals: DataFrame, most: int = STORY_MOST, least: i
     events; of these the ``most`` important stay.  ``finals`` has game_id and
     final_diff; the decisive score is the last that turns the lead to that side.
     """
-    kept = lambda c: F.last(c, ignorenulls=True).over(SO_FAR)
+    kept = lambda c: F.last(c, ignorenulls=True).over(so_far())
     x = events.withColumn("h", F.coalesce(kept("home_score"), F.lit(0))).withColumn("a", F.coalesce(kept("away_score"), F.lit(0)))
-    x = x.withColumn("after", F.col("h") - F.col("a")).withColumn("before", F.coalesce(F.lag("after").over(BY), F.lit(0)))
-    x = x.withColumn("runs", F.greatest(F.lit(0), F.col("h") + F.col("a") - F.coalesce(F.lag(F.col("h") + F.col("a")).over(BY), F.lit(0))))
+    x = x.withColumn("after", F.col("h") - F.col("a")).withColumn("before", F.coalesce(F.lag("after").over(by()), F.lit(0)))
+    x = x.withColumn("runs", F.greatest(F.lit(0), F.col("h") + F.col("a") - F.coalesce(F.lag(F.col("h") + F.col("a")).over(by()), F.lit(0))))
     x = x.where(~text.is_noise(F.col("description")) & (F.coalesce(F.lower(F.trim("event_type")), F.lit("")) != "substitution"))
     d, code = text.compact(F.col("description")), F.upper(F.trim(F.coalesce("result_code", F.lit(""))))
     size, inning, rbi = F.abs(F.coalesce("wpa", F.lit(0.0))), F.coalesce("inning", F.lit(0)), F.coalesce("rbi", F.lit(0))
@@ -199,15 +210,15 @@ def at_bats(events: DataFrame) -> DataFrame:
     """
     named = F.coalesce("batter_name", F.lit("")) != ""
     x = events.withColumn("_named", F.when(named, F.struct(F.col("inning").alias("i"), F.col("inning_half").alias("h"), F.col("batter_name").alias("b"))))
-    last = F.last("_named", ignorenulls=True).over(BEFORE)
+    last = F.last("_named", ignorenulls=True).over(before())
     half = last.isNotNull() & ~(last["i"].eqNullSafe(F.col("inning")) & last["h"].eqNullSafe(F.col("inning_half")))
     cut = half | (named & last.isNotNull() & (last["b"] != F.col("batter_name"))) | (named & last.isNull())
-    x = x.withColumn("_cut", F.coalesce(cut, F.lit(False)).cast("int")).withColumn("_part", F.sum("_cut").over(SO_FAR))
+    x = x.withColumn("_cut", F.coalesce(cut, F.lit(False)).cast("int")).withColumn("_part", F.sum("_cut").over(so_far()))
     result = F.coalesce(F.col("event_type").isin(*TERMINAL), F.lit(False)).cast("int")
     within = W.partitionBy("game_id", "_part").orderBy("event_seq").rowsBetween(W.unboundedPreceding, -1)
     seen = F.coalesce(F.sum(result).over(within), F.lit(0)) > 0
     begins = F.greatest(F.col("_cut"), F.when((result == 1) & seen, 1).otherwise(0))
-    return x.withColumn("_begins", begins).withColumn("at_bat", F.sum("_begins").over(SO_FAR)).drop("_named", "_cut", "_part", "_begins")
+    return x.withColumn("_begins", begins).withColumn("at_bat", F.sum("_begins").over(so_far())).drop("_named", "_cut", "_part", "_begins")
 
 
 def pitch_counts(events: DataFrame) -> DataFrame:
@@ -239,13 +250,13 @@ def state_violations(events: DataFrame, finals: DataFrame) -> DataFrame:
     final_home) against the largest of all, and gives the games that need events.
     ``place`` orders rows that repeat an event_seq.
     """
-    by = W.partitionBy("game_id").orderBy("place")
-    before = by.rowsBetween(W.unboundedPreceding, -1)
+    places = W.partitionBy("game_id").orderBy("place")
+    earlier = places.rowsBetween(W.unboundedPreceding, -1)
     n = lambda c: F.coalesce(c, F.lit(0))
     x = events.select("game_id", "event_seq", "place", n("inning").alias("inning"), F.upper("inning_half").alias("half"), n("outs").alias("outs"), n("away_score").alias("a"), n("home_score").alias("h"))
-    first = F.row_number().over(by) == 1
-    last_inning, last_half = F.coalesce(F.lag("inning").over(by), F.lit(1)), F.coalesce(F.lag("half").over(by), F.lit("TOP"))
-    top = lambda c: F.coalesce(F.max(c).over(before), F.lit(0))
+    first = F.row_number().over(places) == 1
+    last_inning, last_half = F.coalesce(F.lag("inning").over(places), F.lit(1)), F.coalesce(F.lag("half").over(places), F.lit("TOP"))
+    top = lambda c: F.coalesce(F.max(c).over(earlier), F.lit(0))
     seen = F.row_number().over(W.partitionBy("game_id", "event_seq").orderBy("place")) > 1
     rules = {
         "PBP-001": seen,
@@ -266,12 +277,12 @@ def state_violations(events: DataFrame, finals: DataFrame) -> DataFrame:
 
 def live_warnings(events: DataFrame) -> DataFrame:
     """Structural faults of a live feed against the row just before: game_id, place, warning."""
-    by = W.partitionBy("game_id").orderBy("place")
-    prev = lambda c: F.lag(c).over(by)
+    places = W.partitionBy("game_id").orderBy("place")
+    prev = lambda c: F.lag(c).over(places)
     order = lambda c, d: F.when(c == "top", 0).when(c == "bottom", 1).otherwise(d)
     score = lambda c: F.col(c) < F.coalesce(prev(c), F.lit(0))
     same = (F.col("inning") == prev("inning")) & (F.col("inning_half") == prev("inning_half"))
-    outs = F.when(F.col("outs").isNotNull() & (F.coalesce(prev("outs"), F.when(F.row_number().over(by) == 1, 0)).isNotNull()), F.when((F.col("outs") < 0) | (F.col("outs") > 3), "outs_out_of_range").when(same & (F.col("outs") < prev("outs")), "outs_decreased"))
+    outs = F.when(F.col("outs").isNotNull() & (F.coalesce(prev("outs"), F.when(F.row_number().over(places) == 1, 0)).isNotNull()), F.when((F.col("outs") < 0) | (F.col("outs") > 3), "outs_out_of_range").when(same & (F.col("outs") < prev("outs")), "outs_decreased"))
     inning = F.when(F.col("inning") < prev("inning"), "inning_regressed").when((F.col("inning") == prev("inning")) & (order(F.col("inning_half"), 0) < order(prev("inning_half"), 1)), "half_regressed")
     found = F.array(F.when(score("home_score"), "home_score_decreased"), F.when(score("away_score"), "away_score_decreased"), inning, outs, F.when(F.col("event_seq") <= prev("event_seq"), "event_seq_reversed"))
     return events.withColumn("w", F.array_compact(found)).select("game_id", "place", F.explode("w").alias("warning"))
@@ -281,8 +292,8 @@ def inning_runs(events: DataFrame) -> DataFrame:
     """Runs by game, side and inning from the running score; a score that falls gives none."""
     x = events.where("inning is not null and (home_score is not null or away_score is not null)")
     for c in ("home_score", "away_score"):
-        x = x.withColumn(c, F.coalesce(F.last(c, ignorenulls=True).over(SO_FAR), F.lit(0)))
-    up = lambda c: F.greatest(F.lit(0), F.col(c) - F.coalesce(F.lag(c).over(BY), F.lit(0)))
+        x = x.withColumn(c, F.coalesce(F.last(c, ignorenulls=True).over(so_far()), F.lit(0)))
+    up = lambda c: F.greatest(F.lit(0), F.col(c) - F.coalesce(F.lag(c).over(by()), F.lit(0)))
     x = x.withColumn("up_home", up("home_score")).withColumn("up_away", up("away_score")).where(F.col("inning_half").isin("top", "bottom"))
     runs = F.when(F.col("inning_half") == "top", F.col("up_away")).otherwise(F.col("up_home"))
     return x.groupBy("game_id", F.when(F.col("inning_half") == "top", "away").otherwise("home").alias("side"), "inning").agg(F.sum(runs).cast("long").alias("runs"))

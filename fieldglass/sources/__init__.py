@@ -1,6 +1,6 @@
 """Readers and writers beyond plain parquet."""
 
-from .readers import csv_table, golden_queries, html_tables, html_text, json_table, markdown_documents, since
+from .readers import csv_table, golden_queries, html_tables, html_text, json_table, markdown_documents, relay_upload, since, stream_rows
 from .writers import csv_report, json_report, merge, replace_partitions, upsert
 
-__all__ = ["csv_report", "csv_table", "golden_queries", "html_tables", "html_text", "json_report", "json_table", "markdown_documents", "merge", "replace_partitions", "since", "upsert"]
+__all__ = ["csv_report", "csv_table", "golden_queries", "html_tables", "html_text", "json_report", "json_table", "markdown_documents", "merge", "relay_upload", "replace_partitions", "since", "stream_rows", "upsert"]

@@ -1,5 +1,5 @@
 """Operators on streams of events."""
 
-from .live import Broker, changed_only, exact_new, new_events, replay, run_incremental
+from .live import Broker, changed_only, exact_new, new_events, purged, replay, run_incremental
 
-__all__ = ["Broker", "changed_only", "exact_new", "new_events", "replay", "run_incremental"]
+__all__ = ["Broker", "changed_only", "exact_new", "new_events", "purged", "replay", "run_incremental"]

@@ -15,10 +15,10 @@ log = logging.getLogger(__name__)
 
 
 def event_key(key: str, inning: str, seq: str, description: str) -> Column:
-    """The provider's id; where it is missing or blank, 16 hex digits of a hash of inning, number and description."""
+    """The provider's id; where it is missing or empty, 16 hex digits of a hash of inning, number and description."""
     own = F.col(key).cast("string")
     made = F.substring(F.sha2(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (inning, seq, description)]), 256), 1, 16)
-    return F.when(F.trim(own) != "", own).otherwise(made)
+    return F.when(own != "", own).otherwise(made)
 
 
 def new_events(events: DataFrame, key: str, at: str, within: str = "1 hour") -> DataFrame:
@@ -26,15 +26,20 @@ def new_events(events: DataFrame, key: str, at: str, within: str = "1 hour") ->
     return events.withWatermark(at, within).dropDuplicatesWithinWatermark([key])
 
 
-def exact_new(events: DataFrame, group: str, key: str, last: int = 200) -> DataFrame:
-    """(group, key) of events whose key is not among the last ``last`` new ones of its group."""
+def exact_new(events: DataFrame, group: str, key: str, last: int = 200, final: str | None = None) -> DataFrame:
+    """(group, key) of events whose key is not among the last ``last`` new ones of its group.
+
+    Where the boolean column ``final`` is true the group has ended: its state is
+    dropped with that batch, so finished groups leave nothing behind.
+    """
     types = dict(events.dtypes)
 
     def step(name, batches, state: GroupState):
         seen = list(state.get[0]) if state.exists else []
-        have = set(seen)
+        have, ended = set(seen), False
         for b in batches:
             fresh = []
+            ended = ended or (final is not None and bool(b[final].fillna(False).any()))
             for k in b[key]:
                 if k is not None and k not in have:
                     fresh.append(k)
@@ -43,7 +48,10 @@ def exact_new(events: DataFrame, group: str, key: str, last: int = 200) -> DataF
                     if len(seen) > last:
                         have.discard(seen.pop(0))
             yield pd.DataFrame({group: [name[0]] * len(fresh), key: fresh})
-        state.update((seen,))
+        if not ended:
+            state.update((seen,))
+        elif state.exists:
+            state.remove()
 
     schema = f"{group} {types[group]}, {key} {types[key]}"
     return events.groupBy(group).applyInPandasWithState(step, schema, f"seen array<{types[key]}>", "append", GroupStateTimeout.NoTimeout)
@@ -62,6 +70,11 @@ def replay(events: DataFrame, group: str, order: str, payload: str, last: int =
     return ranked.groupBy(group).agg(F.transform(pairs, lambda x: x["p"]).alias("buffer"))
 
 
+def purged(events: DataFrame, finished: DataFrame, group: str) -> DataFrame:
+    """What a replay buffer still needs: events of groups that are not among the finished ones."""
+    return events.join(finished.select(group).distinct(), group, "left_anti")
+
+
 def changed_only(polls: DataFrame, source: str, order: str, payload: str) -> DataFrame:
     """Polls whose payload differs from the one before of the same source; the first always counts."""
     from pyspark.sql import Window as W

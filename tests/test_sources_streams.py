@@ -1,6 +1,9 @@
 """Readers, writers, streams, chunks and the step runner on small inputs."""
 
 import json
+import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,22 +77,73 @@ def test_replay_changes_broker_key(spark):
     assert b.publish(df) == 2 and seen == [7, 1]
     keys = spark.createDataFrame([("x", 1, 2, "d"), (" ", 1, 2, "d"), (None, 1, 2, "d")], "k string, i int, s int, d string").select(streaming.live.event_key("k", "i", "s", "d").alias("k"))
     a, blank, none = [r.k for r in keys.collect()]
-    assert a == "x" and blank == none and len(none) == 16
+    assert a == "x" and blank == " " and len(none) == 16
+
+
+def plain_overlap(text, limit, overlap):
+    """By the rules, in plain Python."""
+    blocks = [p.strip() for p in (text or "").split("\n\n") if p.strip()] or [p.strip() for p in (text or "").split("\n") if p.strip()]
+    done, now = [], ""
+    for p in blocks:
+        for piece, sep in [(x, " ") for x in re.split(r"(?<=[.!?])\s+", p)] if len(p) > limit else [(p, "\n\n")]:
+            if not now:
+                now = piece
+            elif len(now) + len(piece) <= limit:
+                now = (now + sep + piece).strip() if sep == " " else now + sep + piece
+            else:
+                done.append(now)
+                now = (now[-overlap:] if overlap else "") + sep + piece
+    return done + [now] * bool(now)
 
 
 def test_chunks(spark):
-    text = "\n\n".join(f"Paragraph {i}. " + "word " * 30 for i in range(12))
-    parts = list(chunking.overlap_chunks(text, 400, 50))
-    assert len(parts) > 4 and all(f"Paragraph {i}." in "".join(parts) for i in range(12))
-    assert all(b.startswith(a[-50:]) for a, b in zip(parts, parts[1:]))
-    assert max(map(len, chunking.overlap_chunks("x" * 5000, 800, 0))) <= 800
-    docs = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "# A\none\n## B\ntwo")], "k long, t string")
-    assert [r.chunk for r in chunking.chunk_overlap(docs, "k", "t", 400, 50).where("k = 1").orderBy("n").collect()] == parts
-    assert got(chunking.chunk_headings(docs.where("k > 1"), "k", "t"), "n") == [(4, 0, "# A\none"), (4, 1, "## B\ntwo")]
-    family = chunking.chunk_family(docs, "k", "t", 800, 200)
-    assert family.where("k = 1").count() > 5 and family.where("k in (2, 3)").isEmpty()
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcde") for _ in range(r.randint(1, 9))) + r.choice(["", "", "", ".", "!"])
+    texts = ["", None, "x" * 2000, "one line\nanother line\n\n \n"] + ["".join(word() + r.choice([" ", " ", " ", "\n", "\n\n"]) for _ in range(r.randint(1, 400))) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k long, t string").repartition(3)
+    for limit, overlap in ((400, 50), (90, 0)):
+        rows = {}
+        for x in chunking.chunk_overlap(docs, "k", "t", limit, overlap).orderBy("k", "n").collect():
+            rows.setdefault(x.k, []).append(x.chunk)
+        assert rows == {k: c for k, t in enumerate(texts) if (c := plain_overlap(t, limit, overlap))}
+    family = chunking.chunk_family(docs, "k", "t", 300, 80).collect()
+    assert {(x.k, x.parent_n, x.parent) for x in family} == {(k, i, c) for k, t in enumerate(texts) for i, c in enumerate(plain_overlap(t, 300, 100))}
     s = spark.createDataFrame([(1, 0, "a", [1.0, 0.0]), (1, 1, "b", [1.0, 0.1]), (1, 2, "c", [0.0, 1.0])], "k int, o int, t string, v array<double>")
     assert got(chunking.chunk_semantic(s, "k", "o", "t", "v"), "n") == [(1, 0, "a b"), (1, 1, "c")]
+    assert [x.sentence for x in chunking.sentence_rows(spark.createDataFrame([(1, "One. Two!  Three")], "k int, t string"), "k", "t").orderBy("place").collect()] == ["One.", "Two!", "Three"]
+
+
+def test_headings(spark):
+    text = "Intro of more than thirty characters.\n## 키워드\n- a, b\n- c\n## First part\nwith a text of more than thirty characters\n## Stub\nx\n제 3 조 rule\nthe rule has a long enough text here\n#### deep\n1. 가나 a point with a long enough text"
+    docs = spark.createDataFrame([(1, text, "rules"), (2, None, "rules"), (3, "plain", None)], "k int, t string, c string")
+    parts = got(chunking.chunk_headings(docs.where("k = 1"), "k", "t"), "n")
+    assert [p[2].split("\n")[0] for p in parts] == ["Intro of more than thirty characters.", "## First part", "제 3 조 rule", "1. 가나 a point with a long enough text"]
+    assert parts[1][2].endswith("\n## Stub\nx") and {p[3] for p in parts} == {"a,b,c"}
+    assert Counter((x.k, x.way) for x in chunking.chunk_by_category(docs, "k", "t", "c").collect()) == {(1, "headings"): 4, (3, "overlap"): 1}
+
+
+def test_upload_and_rows_in_order(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("game_id,event_seq,inning,inning_half,description,home_score,away_score\ng,1,1,top,old,0,0\n,2,1,top,no game,0,0\ng,2,1,top,x,0,0\ng,1,1,top,new,0,1\ng,bad,1,top,y,0,0\n")
+    assert [tuple(r)[:5] for r in sources.relay_upload(spark, str(tmp_path / "r.csv")).orderBy("event_seq").collect()] == [("g", 1, 1, "top", "new"), ("g", 2, 1, "top", "x")]
+    assert sum(1 for _ in sources.stream_rows(spark.range(10).repartition(3))) == 10
+
+
+def test_finished_games_leave_no_state(spark, tmp_path):
+    src, out, check = (str(tmp_path / x) for x in ("src", "out", "check"))
+    for batch in ([("a", False), ("b", True)], [("a", False)]):
+        spark.createDataFrame([("g", k, f) for k, f in batch], "game string, id string, f boolean").coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema("game string, id string, f boolean").parquet(src)
+        streaming.run_incremental(streaming.exact_new(stream, "game", "id", final="f"), out, check).awaitTermination(120)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "a", "b"]
+    events = spark.createDataFrame([("g", 1), ("h", 2)], "game string, n int")
+    assert [r.game for r in streaming.purged(events, spark.createDataFrame([("g",), ("g",)], "game string"), "game").collect()] == ["h"]
+
+
+def test_nested_tables_and_references(spark):
+    page = "<table><tr><td colspan=2>a &amp; b<br>c</td><td><table><tr><td>in</td></tr></table></td></tr><tr><td>d</table><p>x &lt; y</p><P>z<p>w</p>"
+    df = spark.createDataFrame([(1, page), (2, None)], "k int, html string")
+    assert got(sources.html_tables(df, "k", "html"), "table", "row") == [(1, 0, 0, ["a & b c", "a & b c", ""]), (1, 0, 1, ["d"]), (1, 1, 0, ["in"])]
+    assert [r.text for r in sources.html_text(df, "k", "html", "p").orderBy("n").collect()][0] == "x < y"
 
 
 def test_steps():
