@@ -136,15 +136,18 @@ def filtered(docs: DataFrame, host: str = "source", min_docs: int = 20, share: f
     """
     own, lines = _parts(docs, host)
     gone = _removed(lines, own, min_docs, share).groupBy(F.col("_id").alias("_gid"), F.col("_key").alias("_gkey")).agg(F.sum("words").alias("_removed"), F.collect_set("_line").alias("_gone"))
-    key = F.xxhash64(F.coalesce(F.concat(F.lit("h"), F.col(host).cast("string")), F.lit("")), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    both = docs.withColumn("_key", key).join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gid")) & (F.col("_key") == F.col("_gkey")), "left")
-    both = both.withColumn("_words", words_of(F.col("text"))).withColumn("_n", F.size("_words"))
+    # the row goes along as one column, so no name of its own meets those used here
+    doc = F.col("doc")
+    key = F.xxhash64(F.coalesce(F.concat(F.lit("h"), doc[host].cast("string")), F.lit("")), F.coalesce(doc["text"].cast("string"), F.lit("")))
+    rows = docs.select(F.struct("*").alias("doc")).select("doc", doc["doc_id"].cast("long").alias("_id"), key.alias("_key"))
+    both = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_key") == F.col("_gkey")), "left")
+    both = both.withColumn("_words", words_of(doc["text"])).withColumn("_n", F.size("_words"))
     left = F.col("_n") - F.coalesce("_removed", F.lit(0))
     good = both.where((F.col("_n") >= 50) & (left >= F.lit(least_left) * F.col("_n"))).where(100 * repeat_words(F.col("_words")) <= 50 * F.col("_n"))
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("_gone"), F.xxhash64(normal_line(x)))), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
-    out = good.withColumn("_kept", text)
-    return out.select(*[F.col("_kept").alias(c) if c == "text" else F.length("_kept").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    kept = F.array_join(F.filter(F.split(doc["text"], "\n"), lambda x: ~F.array_contains(F.col("_gone"), F.xxhash64(normal_line(x)))), "\n")
+    text = F.when(F.col("_gone").isNull(), doc["text"]).otherwise(kept)
+    out = good.select("doc", text.alias("_kept"))
+    return out.select(*[F.col("_kept").alias(c) if c == "text" else F.length("_kept").cast("long").alias(c) if c == "n_chars" else doc[c].alias(c) for c in docs.columns])
 
 
 ORACLE = r"""

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import Workspace, ship
 
 
 def targets(sizes: dict[str | None, int], most: int = 3, weights=(1, 2, 3)) -> dict[str | None, float]:
@@ -75,14 +75,19 @@ def _name(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n"))
 
 
-def plan(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3, most_blocks: int = 4096) -> tuple[DataFrame, DataFrame]:
-    """(documents with _name, _block and _size; blocks with what is drawn from them).
+def plan(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3, most_blocks: int = 4096, most_sent: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
+    """(documents as one column ``doc`` with _name, _block and _size; blocks with what is drawn from them).
 
     Blocks: _name, _block, source_size, target, copies and shards (one by copy).
+    They are written and counted; up to ``most_sent`` of them (some 60 bytes each)
+    are sent to the tasks, more are joined by a shuffle.
     """
     ship(docs.sparkSession)
-    own = docs.withColumn("_name", _name(F.col("source"))).withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")), F.lit(most_blocks)).cast("int")).withColumn("_size", word_count(F.col("text").cast("string")))
-    blocks = own.groupBy("_name", "_block").agg(F.sum("_size").alias("size")).withColumn("order", F.xxhash64(F.lit(seed + 1), "_name", "_block")).repartition("_name").persist()
+    space = Workspace(docs.sparkSession)
+    block = F.pmod(F.xxhash64(F.lit(seed), F.col("doc.doc_id").cast("long")), F.lit(most_blocks)).cast("int")
+    own = docs.select(F.struct("*").alias("doc")).select("doc", _name(F.col("doc.source")).alias("_name"), block.alias("_block"), word_count(F.col("doc.text").cast("string")).alias("_size"))
+    blocks = own.groupBy("_name", "_block").agg(F.sum("_size").alias("size")).withColumn("order", F.xxhash64(F.lit(seed + 1), "_name", "_block"))
+    blocks = space.write(blocks, "blocks")
     sizes = {r[0]: r[1] for r in blocks.groupBy("_name").agg(F.sum("size")).collect()}
     real = {None if k == "n" else k[1:]: v for k, v in sizes.items()}
     aims = targets(real, most)
@@ -104,7 +109,8 @@ def plan(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3, most_
             extra[min(free)[1]] = 1
         return t.assign(copies=passes + extra)[["_name", "_block", "order", "copies"]]
 
-    drawn = blocks.groupBy("_name").applyInPandas(choose, "_name string, _block int, order long, copies int").persist()
+    drawn = space.write(blocks.groupBy("_name").applyInPandas(choose, "_name string, _block int, order long, copies int"), "drawn")
+    space.drop(blocks)
     quota = {r[0]: r[1] for r in drawn.groupBy("_name").agg(F.sum("copies")).collect()}
     names = sorted(quota)
     table = split(np.array([quota[k] for k in names], np.int64), shards, seed) if names else np.zeros((shards, 0), np.int64)
@@ -121,7 +127,9 @@ def plan(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3, most_
                 rank += 1
         return pd.DataFrame({"_name": name, "_block": t["_block"], "source_size": sizes[name], "target": goal[name], "copies": t["copies"], "shards": to})
 
-    return own, drawn.groupBy("_name").applyInPandas(deal, "_name string, _block int, source_size long, target double, copies int, shards array<int>")
+    dealt = space.write(drawn.groupBy("_name").applyInPandas(deal, "_name string, _block int, source_size long, target double, copies int, shards array<int>"), "dealt")
+    space.drop(drawn)
+    return own, F.broadcast(dealt) if dealt.count() <= most_sent else dealt
 
 
 def draws(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3) -> DataFrame:
@@ -132,8 +140,9 @@ def draws(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3) -> D
     so are the same text in the same shard, have one place.
     """
     own, blocks = plan(docs, seed, shards, most)
-    out = own.join(blocks.select("_name", "_block", "shards"), ["_name", "_block"]).select(*[c for c in docs.columns if c not in ("mix_shard", "mix_order")], F.posexplode("shards").alias("_copy", "mix_shard"))
-    return out.withColumn("mix_order", F.xxhash64(F.lit(seed + 2), "doc_id", "text", "_copy")).drop("_copy")
+    out = own.join(blocks.select("_name", "_block", "shards"), ["_name", "_block"]).select("doc", F.posexplode("shards").alias("_copy", "mix_shard"))
+    order = F.xxhash64(F.lit(seed + 2), F.col("doc.doc_id"), F.col("doc.text"), "_copy")
+    return out.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c not in ("mix_shard", "mix_order")], "mix_shard", order.alias("mix_order"))
 
 
 def mix(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3) -> DataFrame:
@@ -146,5 +155,5 @@ def mix(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3) -> Dat
     not looked at; an empty table gives an empty result.
     """
     own, blocks = plan(docs.select("doc_id", "source", "text"), seed, shards, most)
-    out = own.select(F.col("doc_id").cast("long").alias("doc_id"), "_name", "_block", F.col("_size").alias("size")).join(blocks, ["_name", "_block"])
+    out = own.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "_name", "_block", F.col("_size").alias("size")).join(blocks, ["_name", "_block"])
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).cast("long").alias("taken"), F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards"))

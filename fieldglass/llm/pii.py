@@ -22,6 +22,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import ship
 from .grams import slices
@@ -200,8 +201,9 @@ def find_personal_data(docs: DataFrame, text: str = "text", mask: bool = False)
                 hidden = pa.array([masked(t, f) for t, f in zip(texts, found)] if mask else [None] * len(texts), pa.string())
                 yield pa.RecordBatch.from_arrays([*b.columns, *n, sha, pa.array([listed(f) for f in found], pa.string()), hidden], names)
 
-    schema = kept.withColumn(text, F.col(text).cast("string")).schema
-    out = kept.withColumn(text, F.col(text).cast("string")).mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] + [_FOUND]))
+    own = kept.withColumn(text, F.col(text).cast("string"))
+    added = [StructField(n, StringType() if kind == "string" else LongType()) for n, kind in (x.split() for x in _FOUND.split(", "))]
+    out = own.mapInArrow(run, StructType([StructField(f.name, f.dataType) for f in own.schema] + added))
     return out if mask else out.drop("masked")
 
 

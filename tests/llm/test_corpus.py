@@ -299,6 +299,18 @@ def test_main_text():
     assert html_paths.main_text(bare).startswith("A long sentence") and "a\n" not in html_paths.main_text(bare)
 
 
+def test_columns_of_any_name_stay(spark):
+    names = ["shards", "_name", "_block", "_size", "_key", "_words", "_n", "_gone", "_kept", "_removed", "_copy", "doc", "spans", "n_email", "masked", "odd name.x"]
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, text + f" x{i}", "s", *[f"{n}{i}" for n in names]) for i in range(3)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    want = sorted(r[3:] for r in rows)
+    for out in (line_quality.filtered(docs), mixing.draws(docs)):
+        quoted = [f"`{n}`" for n in names]
+        assert sorted(tuple(r) for r in out.select(*quoted).distinct().collect()) == want
+    assert line_quality.filtered(docs).columns == docs.columns
+
+
 def test_pages(spark):
     rows = [(1, "u", "<p>x, y.</p>"), (1, "u", "<p>x, y.</p>"), (None, None, None)]
     got = html_paths.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
