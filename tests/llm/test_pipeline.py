@@ -58,3 +58,14 @@ def test_run_and_stages_against_plain_python(spark, tmp_path):
     assert Counter(tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "length").collect()) == Counter(map(tuple, pieces))
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.where("false"), "").count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["shards", "spans", "masked", "key", "_key", "doc", "id", "digest", "mix_shard", "mix_order", "_copy", "kept_key", "odd name"]
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(60)) + f" mail u{i}@b.co"
+    rows = [(i, text(i), "en", "s", 1, *[f"{n}{i}" for n in names]) for i in range(4)]
+    docs = written(spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *names]), "docs")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, ""), name)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+    assert {tuple(r)[5:] for r in docs.collect()} == {r[5:] for r in rows}
