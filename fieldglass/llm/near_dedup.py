@@ -163,12 +163,11 @@ def components(links: DataFrame, space: Workspace | None = None) -> DataFrame:
     Large-star joins each larger neighbour of a node to the node's least
     neighbour, small-star each smaller one; both only need a group minimum, so no
     node's neighbours are gathered in one place.  Every round is written to the
-    shared folder in place of the one before.  Ends when the links stand still.
+    shared folder in place of the one before.  Ends when the links are stars.
     """
     space = space or Workspace(links.sparkSession)
     now = space.write(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    state = _state(now)
-    while True:
+    while not _only_stars(now):
         ways = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = ways.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = ways.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -176,16 +175,15 @@ def components(links: DataFrame, space: Workspace | None = None) -> DataFrame:
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("x")).select("x.*").where("u <> v").distinct()
         last, now = now, space.write(small, "edges")
         space.drop(last)
-        last, state = state, _state(now)
-        if last == state:
-            out = space.write(now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), "components")
-            space.drop(now)
-            return out
+    out = space.write(now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), "components")
+    space.drop(now)
+    return out
 
 
-def _state(edges: DataFrame) -> tuple:
-    """A count and a sum of hashes that tell two sets of edges apart."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node is either the centre of its edges or the end of just one."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("end"), F.lit(0).alias("centre")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("end"), F.lit(1).alias("centre")))
+    return ends.groupBy("node").agg(F.sum("end").alias("n"), F.max("centre").alias("c")).where("n + c > 1").isEmpty()
 
 
 def _joined(parts: DataFrame, pairs: DataFrame, docs: DataFrame, percent: int, size: int, space: Workspace) -> tuple[DataFrame, bool]:
