@@ -22,11 +22,20 @@ def priority_dedup(df: DataFrame, keys: list[str], source: str, ranking: list[st
 
 
 def competition_rank(df: DataFrame, metric: str, key: str, descending: bool = True, within: list[str] | None = None) -> DataFrame:
-    """Adds rank (1, 2, 2, 4) and is_tie (true from the second of equal values on)."""
+    """Adds rank (1, 2, 2, 4) and is_tie (true from the second of equal values on).
+
+    Without ``within`` the whole table is one ranking: rows are counted by value and
+    the counts are added up, so the one window over everything sees values, not rows.
+    """
     order = F.col(metric).desc() if descending else F.col(metric).asc()
-    by = W.partitionBy(*within) if within else W.partitionBy()
-    w = by.orderBy(order, F.col(key).asc())
-    return df.withColumn("rank", F.rank().over(by.orderBy(order)).cast("int")).withColumn("is_tie", F.coalesce(F.lag(metric).over(w) == F.col(metric), F.lit(False)))
+    if within:
+        by = W.partitionBy(*within)
+        return df.withColumn("rank", F.rank().over(by.orderBy(order)).cast("int")).withColumn("is_tie", F.coalesce(F.lag(metric).over(by.orderBy(order, F.col(key).asc())) == F.col(metric), F.lit(False)))
+    counts = df.groupBy(F.col(metric).alias("_value")).agg(F.count("*").alias("_n"))
+    value = F.col("_value").desc() if descending else F.col("_value").asc()
+    ranks = counts.select("_value", (F.sum("_n").over(W.orderBy(value).rowsBetween(W.unboundedPreceding, 0)) - F.col("_n") + 1).cast("int").alias("rank"))
+    x = df.join(ranks, F.col(metric).eqNullSafe(F.col("_value"))).drop("_value")
+    return x.withColumn("is_tie", F.col(metric).isNotNull() & (F.row_number().over(W.partitionBy(metric).orderBy(F.col(key).asc())) > 1))
 
 
 def two_sided(games: DataFrame, home: str, away: str, home_score: str, away_score: str) -> DataFrame:
@@ -47,10 +56,3 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFr
     b = right.select(F.col(key).alias("k"), F.col(value).alias("b"), F.lit(True).alias("hb"))
     status = F.when(F.col("hb").isNull(), "missing_right").when(F.col("ha").isNull(), "missing_left").when(~F.col("a").eqNullSafe(F.col("b")), "mismatch").otherwise("match")
     return a.join(b, "k", "full").select(F.col("k").alias(key), status.alias("status"))
-
-
-def coalesce_upsert(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of both by key; a NULL in ``new`` never overwrites a value."""
-    cols = [c for c in target.columns if c != key]
-    joined = target.alias("t").join(new.alias("n"), key, "full")
-    return joined.select(key, *[F.coalesce(F.col(f"n.{c}"), F.col(f"t.{c}")).alias(c) for c in cols])

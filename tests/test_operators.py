@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from fieldglass import sources
 from fieldglass.operators import basics, retrieval, splits, standings
 
 
@@ -28,7 +29,7 @@ def test_competition_rank_flags_later_ties(spark):
 def test_null_never_overwrites(spark):
     old = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, x string, y int")
     new = spark.createDataFrame([(1, None, 9), (3, "c", 3)], "k int, x string, y int")
-    assert sorted(map(tuple, basics.coalesce_upsert(old, new, "k").collect())) == [(1, "a", 9), (2, "b", 2), (3, "c", 3)]
+    assert sorted(map(tuple, sources.upsert(old, new, ["k"]).collect())) == [(1, "a", 9), (2, "b", 2), (3, "c", 3)]
 
 
 def test_park_of_null_is_unknown(spark):
