@@ -82,12 +82,13 @@ def base_rules(docs: DataFrame, text: str = "text") -> list[Column]:
     ]
 
 
-def quality(docs: DataFrame, host: str = "source", min_docs: int = 20, share: float = 0.02, least_left: float = 0.3) -> DataFrame:
+def quality(docs: DataFrame, host: str = "source", min_docs: int = 20, share: float = 0.02, least_left: float = 0.3, most_docs: int = 1000) -> DataFrame:
     """One row per row of ``docs``: doc_id, the base figures, base_failed, n_removed_words and kept.
 
     A line is above the limit if more than max(min_docs, share * documents of the
-    host) documents of the host hold it.  Its words are removed from all of these
-    but the one with the least doc_id.  kept is false if base_failed, or if fewer
+    host) documents of the host hold it, or more than ``most_docs`` whatever the
+    host's size.  Its words are removed from all of these but the one with the least
+    doc_id.  kept is false if base_failed, or if fewer
     than ``least_left`` of the words are left.
 
     Null or empty texts have no words and so fail the base rules.  A null host is
@@ -96,7 +97,7 @@ def quality(docs: DataFrame, host: str = "source", min_docs: int = 20, share: fl
     Other columns are not looked at.
     """
     own, lines = _parts(docs, host)
-    gone = _removed(lines, own, min_docs, share)
+    gone = _removed(lines, own, min_docs, share, most_docs)
     figures = own.withColumn("_words", words_of(F.col("text"))).withColumn("_repeat", repeat_words(F.col("_words"))).select("_id", "_key", *base_rules(own))
     bad = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     total = gone.groupBy(F.col("_id").alias("_gid"), F.col("_key").alias("_gkey")).agg(F.sum("words").alias("removed"))
@@ -118,24 +119,24 @@ def _parts(docs: DataFrame, host: str) -> tuple[DataFrame, DataFrame]:
     return own, lines.select("_host", "_id", "_key", F.xxhash64(normal_line(F.col("line"))).alias("_line"), F.size(words_of(F.col("line"))).alias("words"))
 
 
-def _removed(lines: DataFrame, own: DataFrame, min_docs: int, share: float) -> DataFrame:
+def _removed(lines: DataFrame, own: DataFrame, min_docs: int, share: float, most_docs: int) -> DataFrame:
     """The lines to remove: _id, _key, _line and the words they take up in the document."""
     hosts = own.groupBy("_host").agg(F.count_distinct(F.coalesce(F.col("_id").cast("string"), F.lit("null"))).alias("docs"))
     held = lines.groupBy("_host", "_line", "_id").agg(F.lit(1).alias("one")).groupBy("_host", "_line").agg(F.count("*").alias("n"), F.min("_id").alias("first"))
-    often = held.where(F.col("n") > min_docs).join(hosts, "_host").where(F.col("n") > share * F.col("docs"))
+    often = held.where(F.col("n") > min_docs).join(hosts, "_host").where((F.col("n") > share * F.col("docs")) | (F.col("n") > most_docs))
     often = often.select(F.col("_host").alias("_h"), F.col("_line").alias("_l"), "first", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_s"))
     salt = F.pmod(F.xxhash64("_id"), F.lit(_SALTS)).cast("int")
     hit = lines.join(often, (F.col("_host") == F.col("_h")) & (F.col("_line") == F.col("_l")) & (salt == F.col("_s"))).where(~F.col("_id").eqNullSafe(F.col("first")))
     return hit.select("_id", "_key", "_line", "words")
 
 
-def filtered(docs: DataFrame, host: str = "source", min_docs: int = 20, share: float = 0.02, least_left: float = 0.3) -> DataFrame:
+def filtered(docs: DataFrame, host: str = "source", min_docs: int = 20, share: float = 0.02, least_left: float = 0.3, most_docs: int = 1000) -> DataFrame:
     """The rows that are kept, with their columns, frequent lines taken out of ``text`` and n_chars following it.
 
     Edge cases as in ``quality``.
     """
     own, lines = _parts(docs, host)
-    gone = _removed(lines, own, min_docs, share).groupBy(F.col("_id").alias("_gid"), F.col("_key").alias("_gkey")).agg(F.sum("words").alias("_removed"), F.collect_set("_line").alias("_gone"))
+    gone = _removed(lines, own, min_docs, share, most_docs).groupBy(F.col("_id").alias("_gid"), F.col("_key").alias("_gkey")).agg(F.sum("words").alias("_removed"), F.collect_set("_line").alias("_gone"))
     # the row goes along as one column, so no name of its own meets those used here
     doc = F.col("doc")
     key = F.xxhash64(F.coalesce(F.concat(F.lit("h"), doc[host].cast("string")), F.lit("")), F.coalesce(doc["text"].cast("string"), F.lit("")))
@@ -162,7 +163,7 @@ ln AS (SELECT doc_id, host, line, regexp_replace(lower(trim(regexp_replace(line,
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY 1),
 hosts AS (SELECT host, count(DISTINCT doc_id) AS docs FROM d GROUP BY 1),
 often AS (SELECT host, norm, min(doc_id) AS first FROM ln JOIN hosts USING (host) GROUP BY host, norm, docs
-    HAVING count(DISTINCT doc_id) > 20 AND count(DISTINCT doc_id) > 0.02 * docs),
+    HAVING count(DISTINCT doc_id) > 20 AND (count(DISTINCT doc_id) > 0.02 * docs OR count(DISTINCT doc_id) > 1000)),
 gone AS (SELECT ln.doc_id, sum(words) AS n FROM ln JOIN often USING (host, norm) WHERE ln.doc_id <> often.first GROUP BY 1),
 f AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,

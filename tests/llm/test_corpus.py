@@ -94,6 +94,14 @@ def test_frequent_lines_leave_one_copy(spark):
     assert [i for i, t in out.items() if t.startswith("Shared")] == [0] and len(out) == 6
 
 
+def test_a_line_in_many_documents_goes_whatever_the_host(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(60)).translate(str.maketrans("0123456789", "abcdefghij"))
+    rows = [(i, ("in five of forty\n" if i < 5 else "") + own(i), "h") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for most, gone in ((5, set()), (4, {1, 2, 3, 4})):
+        assert {r.doc_id for r in line_quality.quality(df, min_docs=2, share=0.5, most_docs=most).where("n_removed_words > 0").collect()} == gone
+
+
 def test_packing(docs):
     path = tokenizer_file("byte_bpe_50k.json")
     got = packing.pack(docs, path, window=64).toPandas()
