@@ -7,10 +7,13 @@ piles up and most levels keep partners for what comes next.  Documents longer
 than a window give off full windows first; only their rest is placed.
 
 Each partition packs its own stream in one pass.  Windows leave as soon as they
-are full; open ones are held, at most ``most_open`` of them, with their ids.  At
-that bound and at the end of the partition the open windows (the emptiest ones,
-at the end all) are cut and laid end to end, which leaves one short window, so a
-partition pads less than two windows whatever the lengths are.
+are full.  A level whose windows find no partners (say, where all pieces are a
+little over half a window) would grow without end: with more than ``per_level``
+windows on a level two of them are laid end to end, cut where the first is full,
+and the rest takes its own level.  So at most ``per_level`` windows a level are held,
+2,046 of 1,024 tokens by default, however long the stream is.  At the end of the
+partition the open windows are laid end to end in the same way, which leaves one
+short window, so a partition pads less than a window whatever the lengths are.
 """
 
 from __future__ import annotations
@@ -60,13 +63,12 @@ class Levels:
 
 
 class Packer:
-    """Packs one stream; ``rows`` gathers (doc, start, ids, doc_tokens, sequence, offset)."""
+    """Packs one stream; ``rows`` gathers (doc, start, crc, doc_tokens, sequence, offset)."""
 
-    def __init__(self, window: int, most_open: int, first_sequence: int):
-        self.window, self.most = window, most_open
+    def __init__(self, window: int, per_level: int, first_sequence: int):
+        self.window, self.most = window, per_level
         self.levels = Levels(window)
         self.open: list[list[list]] = [[] for _ in range(window + 1)]
-        self.held = 0
         self.next = first_sequence
         self.rows: list[tuple] = []
 
@@ -89,23 +91,44 @@ class Packer:
         items = self.open[level].pop() if level else []
         items.append((doc, full, ids[full:].copy(), total))
         if level + size == w:
-            self.held -= bool(level)
             self._emit(items)
         else:
-            self.held += not level
             self.open[level + size].append(items)
-            if self.held > self.most:
-                self.flush(self.held // 2)
-
-    def flush(self, count: int | None = None) -> None:
-        """Cut and join the ``count`` emptiest open windows (all by default)."""
+            self._settle(level + size)
+
+    def _settle(self, level: int) -> None:
+        """Join windows of a level that holds too many, and of those that this fills."""
+        todo = [level]
+        while todo:
+            level = todo.pop()
+            while len(self.open[level]) > self.most:
+                room = self.window - level
+                row, rest = self.open[level].pop(), []
+                for doc, start, ids, total in self.open[level].pop():
+                    part, ids = ids[:room], ids[room:]
+                    room -= len(part)
+                    if len(part):
+                        row.append((doc, start, part, total))
+                    if len(ids):
+                        rest.append((doc, start + len(part), ids, total))
+                self.levels.counts[level] -= 2
+                size = min(2 * level, self.window)
+                if size == self.window:
+                    self._emit(row)
+                for at, items in ((size, row), (2 * level - size, rest)):
+                    if 0 < at < self.window:
+                        self.open[at].append(items)
+                        self.levels.counts[at] += 1
+                        todo.append(at)
+
+    def flush(self) -> None:
+        """Cut and join all open windows, the emptiest first."""
         left: list = []
         for level in range(1, self.window):
-            while self.open[level] and (count is None or count > 0):
-                left += self.open[level].pop()
-                self.levels.counts[level] -= 1
-                self.held -= 1
-                count = None if count is None else count - 1
+            for items in self.open[level]:
+                left += items
+            self.open[level] = []
+        self.levels.counts[:] = 0
         row, room = [], self.window
         for doc, start, ids, total in left:
             while len(ids):
@@ -120,7 +143,7 @@ class Packer:
             self._emit(row)
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, most_open: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, per_level: int = 2) -> DataFrame:
     """One row per piece of a document; see the module for the method.
 
     A null or empty text is its end id alone.  A null doc_id stays null, rows
@@ -132,7 +155,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, m
 
     def run(batches):
         enc = encoder(tokenizer)
-        packer = Packer(window, most_open, TaskContext.get().partitionId() << 36)
+        packer = Packer(window, per_level, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], "<u4").tobytes()
 
         def batch():

@@ -137,6 +137,27 @@ def test_levels_choose_the_least_sum_of_squares():
         assert cost(h) == min(map(cost, options))
 
 
+@pytest.mark.parametrize("sizes", [[600] * 500, list(range(1, 64)) * 9, [1] * 300, [63, 33, 33, 33, 33], [64, 128, 65] * 40])
+def test_a_level_holds_few_windows_and_nothing_is_lost(sizes):
+    packer = packing.Packer(64, 2, 0)
+    for i, n in enumerate(sizes):
+        packer.add(i, np.arange(n).astype("<u4"))
+        assert all(len(x) <= 2 for x in packer.open) and [len(x) for x in packer.open] == packer.levels.counts.tolist()
+    packer.flush()
+    by, whole = {}, {}
+    for doc, start, n, crc, total, sequence, offset in packer.rows:
+        assert total == sizes[doc] and crc == zlib.crc32(np.arange(start, start + n).astype("<u4").tobytes())
+        by.setdefault(sequence, []).append((offset, n))
+        whole.setdefault(doc, []).append((start, n))
+    for pieces, size in [(p, None) for p in by.values()] + [(whole[i], n) for i, n in enumerate(sizes)]:
+        at = 0
+        for a, n in sorted(pieces):
+            assert a == at and n > 0
+            at += n
+        assert at <= 64 if size is None else at == size
+    assert len(by) == -(-sum(sizes) // 64)
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_encoder_is_the_library(name):
     enc, r = tokens.encoder(tokenizer_file(name)), random.Random(1)
