@@ -2,16 +2,19 @@
 
 Both kinds of file used here never let a token reach across the start of white
 space that follows a word, so the ids of a text are those of its stretches set
-side by side.  Each worker keeps the ids of stretches it has met (each encoded
+side by side; the file itself is asked for this, and any other file has every text
+encoded whole.  Each worker keeps the ids of stretches it has met (each encoded
 once by the library itself) in a table of bounded size; texts with white space
 other than single blanks and line feeds go to the library whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
+import regex
 
 
 def _plain(text: str) -> bool:
@@ -21,6 +24,23 @@ def _plain(text: str) -> bool:
     return len("".join(text.split())) == len(text) - text.count(" ") - text.count("\n")
 
 
+def _in_stretches(config: dict) -> bool:
+    """Whether a tokenizer's file says that no token reaches into white space that follows a word.
+
+    True for byte-level splitting with its own pattern, and for a pattern of words
+    and signs that drops white space; anything else is encoded whole.
+    """
+    normal, pre = config.get("normalizer"), config.get("pre_tokenizer") or {}
+    if normal is None and pre.get("type") == "ByteLevel":
+        return bool(pre.get("use_regex")) and not pre.get("add_prefix_space")
+    steps, parts = (normal or {}).get("normalizers", []), pre.get("pretokenizers", [])
+    if [x["type"] for x in steps] != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in parts] != ["Split", "ByteLevel"]:
+        return False
+    split, pattern = parts[0], parts[0]["pattern"].get("Regex", "")
+    drops = split["behavior"] == "Removed" and split["invert"] and not parts[1]["use_regex"] and not parts[1]["add_prefix_space"]
+    return drops and not any(c.isspace() for m in regex.finditer(pattern, "a b's 1 2 .. ,\n\ta") for c in m.group())
+
+
 _KEPT: dict = {}
 
 
@@ -58,6 +78,7 @@ class Encoder:
         self.library.encode_special_tokens = True
         #: whether white space counts (byte-level) or is dropped (word ends)
         self.spaced = bool(self.library.encode(" a", add_special_tokens=False).ids != self.library.encode("a", add_special_tokens=False).ids)
+        self.fast = _in_stretches(json.loads(self.library.to_str()))
         self.first = Table(most_kept)
         self.later = Table(most_kept)
         #: text that keeps stretches apart in a joint call, and its id
@@ -88,7 +109,7 @@ class Encoder:
         for i, t in enumerate(texts):
             if not t:
                 continue
-            if not _plain(t):
+            if not self.fast or not _plain(t):
                 odd.append(i)
             elif self.spaced:
                 lines.append((i, [x.split(" ") for x in t.split("\n")]))

@@ -167,6 +167,17 @@ def test_encoder_is_the_library(name):
         assert np.frombuffer(enc.ids([t])[0], "<u4").tolist() == enc.library.encode(t, add_special_tokens=False).ids
 
 
+def test_another_tokenizer_encodes_whole_texts(tmp_path):
+    from tokenizers import pre_tokenizers
+
+    assert all(tokens.encoder(tokenizer_file(n)).fast for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+    other = tokens.Encoder(tokenizer_file("byte_bpe_50k.json")).library
+    other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    other.save(str(tmp_path / "other.json"))
+    enc, text = tokens.Encoder(str(tmp_path / "other.json")), "in the middle of the night\nand of the day"
+    assert not enc.fast and np.frombuffer(enc.ids([text])[0], "<u4").tolist() == other.encode(text, add_special_tokens=False).ids
+
+
 def test_records(docs, spark):
     path, folder = tokenizer_file("word_bpe_49k.json"), scratch(spark, "rec")
     shards = token_records.write_records(docs, folder, path, 2)
