@@ -1,4 +1,4 @@
-"""Rates, projections and record metrics as columns.
+"""Projections and record metrics as columns.
 
 Rounding is Spark's ``bround`` (half to even on the decimal form of a double),
 which can differ by one in the last place from rounding the binary value.
@@ -9,10 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .ratios import num, ratio
-
-# Weights of the extrapolated-runs formula, by column.
-XR = {"singles": 0.50, "doubles": 0.72, "triples": 1.04, "home_runs": 1.44, "unintentional": 0.34, "intentional_walks": 0.25, "stolen_bases": 0.18, "caught_stealing": -0.32, "outs_in_play": -0.09, "strikeouts": -0.098, "gdp": -0.37, "sacrifice_flies": 0.37, "sacrifice_hits": 0.04}
 # Rates per plate appearance a projection is drawn to, and how strongly.
 LEAGUE = {"hits": 0.230, "home_runs": 0.025, "walks": 0.085, "strikeouts": 0.180, "total_bases": 0.350, "at_bats": 0.880}
 REGRESSION, SEASON_WEIGHTS = 1200.0, (5.0, 4.0, 3.0)
@@ -20,28 +16,6 @@ REGRESSION, SEASON_WEIGHTS = 1200.0, (5.0, 4.0, 3.0)
 PEAK, GROWTH, DECLINE = 29, 0.006, 0.003
 
 
-def total_bases() -> Column:
-    return num("hits") + num("doubles") + 2 * num("triples") + 3 * num("home_runs")
-
-
-def batting_rates(matchup: bool = False) -> dict[str, Column]:
-    """avg, obp, slg, ops, iso, babip, xr; ops and iso come from the rounded parts.
-
-    ``matchup`` rates divide times on base by all plate appearances.
-    """
-    on_base = num("hits") + num("walks") + num("hbp")
-    chances = num("plate_appearances") if matchup else num("at_bats") + num("walks") + num("hbp") + num("sacrifice_flies")
-    avg, obp, slg = (F.bround(ratio(a, b), 3) for a, b in ((num("hits"), num("at_bats")), (on_base, chances), (total_bases(), num("at_bats"))))
-    terms = {
-        "singles": num("hits") - num("doubles") - num("triples") - num("home_runs"),
-        "unintentional": num("hbp") + num("walks") - num("intentional_walks"),
-        "outs_in_play": num("at_bats") - num("hits") - num("strikeouts"),
-    }
-    runs = sum((F.lit(w) * terms.get(c, num(c)) for c, w in XR.items()), F.lit(0.0))
-    in_play = num("at_bats") - num("strikeouts") - num("home_runs") + num("sacrifice_flies")
-    return {"avg": avg, "obp": obp, "slg": slg, "ops": F.bround(obp + slg, 3), "iso": F.bround(slg - avg, 3), "babip": F.bround(ratio(num("hits") - num("home_runs"), in_play), 3), "xr": F.bround(runs, 2)}
-
-
 def aging(age: Column) -> Column:
     """1 at the peak, more before, less after; 1 where age is missing or not positive."""
     off = F.lit(PEAK) - age

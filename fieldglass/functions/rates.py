@@ -7,6 +7,8 @@ up, without a binary fraction in between.  NULL counts as 0.  ``above`` and
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,9 +18,14 @@ XR = {"singles": 500, "doubles": 720, "triples": 1040, "home_runs": 1440, "unint
 WOBA = {"unintentional": 69, "hbp": 72, "singles": 89, "doubles": 127, "triples": 162, "home_runs": 210}
 
 
+def zero(sql: str) -> str:
+    """``sql`` with every column (a lower-case name that calls nothing) read as 0 where it is NULL."""
+    return re.sub(r"\b([a-z_][a-z_0-9]*)\b(?!\s*\()", r"coalesce(\1, 0)", sql)
+
+
 def whole(above: str, below: str, places: int) -> Column:
     """``above / below`` in units of the last place, half up; NULL where ``below`` is not above 0."""
-    top, bottom = f"CAST({above} AS BIGINT)", f"CAST({below} AS BIGINT)"
+    top, bottom = (f"CAST({zero(x)} AS BIGINT)" for x in (above, below))
     x = f"({2 * 10**places} * ({top}) + ({bottom}))"
     floor = f"(({x} div (2 * ({bottom}))) - CASE WHEN {x} % (2 * ({bottom})) < 0 THEN 1 ELSE 0 END)"
     return F.expr(f"CASE WHEN ({bottom}) > 0 THEN {floor} END")
@@ -37,10 +44,10 @@ def batting(matchup: bool = False, slugging: bool = True) -> dict[str, Column]:
     plate appearances; without ``slugging`` slg is 0 and ops is obp.
     """
     chances = "plate_appearances" if matchup else "at_bats + walks + hbp + sacrifice_flies"
-    zero = F.lit(0).cast("long")
-    avg = F.coalesce(whole("hits", "at_bats", 3), zero)
-    obp = F.coalesce(whole("hits + walks + hbp", chances, 3), zero)
-    slg = F.coalesce(whole("hits + doubles + 2 * triples + 3 * home_runs", "at_bats", 3), zero) if slugging else zero
+    nothing = F.lit(0).cast("long")
+    avg = F.coalesce(whole("hits", "at_bats", 3), nothing)
+    obp = F.coalesce(whole("hits + walks + hbp", chances, 3), nothing)
+    slg = F.coalesce(whole("hits + doubles + 2 * triples + 3 * home_runs", "at_bats", 3), nothing) if slugging else nothing
     terms = {"singles": "(hits - doubles - triples - home_runs)", "unintentional": "(hbp + walks - intentional_walks)", "outs_in_play": "(at_bats - hits - strikeouts)"}
     runs = " + ".join(f"({w}) * {terms.get(c, c)}" for c, w in XR.items())
     return {
@@ -50,7 +57,7 @@ def batting(matchup: bool = False, slugging: bool = True) -> dict[str, Column]:
         "ops": (obp + slg) / 1000.0,
         "iso": (slg - avg) / 1000.0,
         "babip": rate("hits - home_runs", "at_bats - strikeouts - home_runs + sacrifice_flies", 3),
-        "xr": F.floor(F.expr(f"(({runs}) + 5) / 10.0")).cast("double") / 100.0,
+        "xr": F.floor(F.expr(f"(({zero(runs)}) + 5) / 10.0")).cast("double") / 100.0,
     }
 
 
@@ -62,7 +69,7 @@ def pitching(constant: str = "310") -> dict[str, Column]:
         "whip": rate("3 * (walks_allowed + hits_allowed)", outs, 2),
         "k_per_nine": rate("27 * strikeouts", outs, 2),
         "bb_per_nine": rate("27 * walks_allowed", outs, 2),
-        "kbb": F.coalesce(rate("strikeouts", "walks_allowed", 2, None), F.expr("CAST(strikeouts AS DOUBLE)")),
+        "kbb": F.coalesce(rate("strikeouts", "walks_allowed", 2, None), F.expr("CAST(coalesce(strikeouts, 0) AS DOUBLE)")),
         "fip": rate(f"100 * 3 * (13 * home_runs_allowed + 3 * (walks_allowed + hit_batters) - 2 * strikeouts) + ({constant}) * {outs}", f"100 * {outs}", 2),
     }
 

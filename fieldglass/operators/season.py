@@ -209,12 +209,13 @@ PEER_METRICS = ("avg", "obp", "slg", "ops", "home_runs", "rbi", "hits")
 def against_peers(rows: DataFrame, peers: str, least_pa: int = 10) -> DataFrame:
     """By player, each metric's distance to the mean of those with the same ``peers`` value and enough plate appearances.
 
-    Rates are whole thousandths while they are averaged, so no order of rows shows.
+    Rates are whole thousandths while they are averaged, so no order of rows shows, and
+    come out to three places, counts to one.
     """
     milli = lambda c: F.round(F.col(c) * 1000).cast("long") if c in PEER_METRICS[:4] else F.col(c).cast("long")
     means = rows.where(F.col("plate_appearances") >= least_pa).groupBy(peers).agg(F.count("*").alias("_n"), *[F.sum(milli(c)).alias(f"_{c}") for c in PEER_METRICS])
     x = rows.select("player_id", peers, *[milli(c).alias(c) for c in PEER_METRICS]).join(means, peers, "left")
-    off = lambda c: F.when(F.col("_n") > 0, F.round(F.col(c) - F.col(f"_{c}") / F.col("_n"), 1) / F.lit(1000.0 if c in PEER_METRICS[:4] else 1.0))
+    off = lambda c: rates.whole(f"{c} * _n - _{c}", "_n", 0 if c in PEER_METRICS[:4] else 1) / F.lit(1000.0 if c in PEER_METRICS[:4] else 10.0)
     return x.select("player_id", peers, *[off(c).alias(f"{c}_off") for c in PEER_METRICS])
 
 

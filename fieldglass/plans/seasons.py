@@ -89,7 +89,7 @@ _MILLI = {c: (f"CAST(round({c} * 1000) AS BIGINT)" if c in _PM[:4] else c) for c
 
 @query(
     "a29_seven_metrics",
-    f"WITH {BAT}, s AS ({_SEASON_BAT}), z AS (SELECT player_id, 'pos' || (player_id % 9)::VARCHAR AS position, plate_appearances, {_AVG} AS avg, {_OBP} AS obp, {_SLG} AS slg, ({_M(_OBP)} + {_M(_SLG)}) / 1000.0::DOUBLE AS ops, home_runs, rbi, hits FROM s WHERE season = 1995), m AS (SELECT player_id, position, plate_appearances, {', '.join(f'{e} AS {c}' for c, e in _MILLI.items())} FROM z), p AS (SELECT position, count(*) AS n, {', '.join(f'sum({c})::BIGINT AS p_{c}' for c in _PM)} FROM m WHERE plate_appearances >= 10 GROUP BY 1) SELECT player_id, position, {', '.join(f'CASE WHEN n > 0 THEN round({c} - p_{c} / n, 1) / {1000.0 if c in _PM[:4] else 1.0}::DOUBLE END AS {c}_off' for c in _PM)} FROM m LEFT JOIN p USING (position)",
+    f"WITH {BAT}, s AS ({_SEASON_BAT}), z AS (SELECT player_id, 'pos' || (player_id % 9)::VARCHAR AS position, plate_appearances, {_AVG} AS avg, {_OBP} AS obp, {_SLG} AS slg, ({_M(_OBP)} + {_M(_SLG)}) / 1000.0::DOUBLE AS ops, home_runs, rbi, hits FROM s WHERE season = 1995), m AS (SELECT player_id, position, plate_appearances, {', '.join(f'{e} AS {c}' for c, e in _MILLI.items())} FROM z), p AS (SELECT position, count(*) AS n, {', '.join(f'sum({c})::BIGINT AS p_{c}' for c in _PM)} FROM m WHERE plate_appearances >= 10 GROUP BY 1) SELECT player_id, position, {', '.join(f'CASE WHEN n > 0 THEN floor((2.0::DOUBLE * {1 if c in _PM[:4] else 10} * ({c} * n - p_{c}) + n) / (2.0::DOUBLE * n)) / {1000 if c in _PM[:4] else 10}::DOUBLE END AS {c}_off' for c in _PM)} FROM m LEFT JOIN p USING (position)",
 )
 def a29(t: Tables):
     """Players of a position with enough plate appearances make the mean."""
