@@ -68,7 +68,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, fil
     """Write all documents in ascending doc_id (null last); one row per file, in order.
 
     Null and empty texts give the end id alone; rows that repeat a doc_id lie
-    next to each other in order of their text; other columns are not looked at.
+    next to each other in order of their text, and so do rows without one, which the
+    beginning of their text deals out over files; other columns are not looked at.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -107,7 +108,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, fil
 
     dealt = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .repartitionByRange(files or partitions(spark), F.col("doc_id").asc_nulls_last())
+        .repartitionByRange(files or partitions(spark), F.col("doc_id").asc_nulls_last(), F.substring(F.coalesce("text", F.lit("")), 1, 32))
         .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
     )
     shards = dealt.mapInArrow(run, _SHARDS).collect()  # a row per file
