@@ -75,12 +75,11 @@ def _name(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n"))
 
 
-def plan(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3, most_blocks: int = 4096, most_sent: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
+def plan(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3, most_blocks: int = 4096) -> tuple[DataFrame, DataFrame]:
     """(documents as one column ``doc`` with _name, _block and _size; blocks with what is drawn from them).
 
     Blocks: _name, _block, source_size, target, copies and shards (one by copy).
-    They are written and counted; up to ``most_sent`` of them (some 60 bytes each)
-    are sent to the tasks, more are joined by a shuffle.
+    They are written once, so that Spark knows their size.
     """
     ship(docs.sparkSession)
     space = Workspace(docs.sparkSession)
@@ -129,18 +128,21 @@ def plan(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3, most_
 
     dealt = space.write(drawn.groupBy("_name").applyInPandas(deal, "_name string, _block int, source_size long, target double, copies int, shards array<int>"), "dealt")
     space.drop(drawn)
-    return own, F.broadcast(dealt) if dealt.count() <= most_sent else dealt
+    return own, dealt
 
 
-def draws(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3) -> DataFrame:
+def draws(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3, most_sent: int = 1 << 17) -> DataFrame:
     """The mix: the rows of ``docs`` as often as drawn, with mix_shard and mix_order (position key in the shard).
 
     Rows not drawn are absent.  Columns of ``docs`` of these two names are replaced.
     The order goes by doc_id, text and copy; only rows that agree in all three, and
-    so are the same text in the same shard, have one place.
+    so are the same text in the same shard, have one place.  Blocks are counted: up to
+    ``most_sent`` of them (some 10 MB) are sent to the tasks, so that texts are not
+    shuffled to meet them; more are joined by a shuffle.
     """
     own, blocks = plan(docs, seed, shards, most)
-    out = own.join(blocks.select("_name", "_block", "shards"), ["_name", "_block"]).select("doc", F.posexplode("shards").alias("_copy", "mix_shard"))
+    to = blocks.select("_name", "_block", "shards")
+    out = own.join(F.broadcast(to) if blocks.count() <= most_sent else to, ["_name", "_block"]).select("doc", F.posexplode("shards").alias("_copy", "mix_shard"))
     order = F.xxhash64(F.lit(seed + 2), F.col("doc.doc_id"), F.col("doc.text"), "_copy")
     return out.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c not in ("mix_shard", "mix_order")], "mix_shard", order.alias("mix_order"))
 
