@@ -9,11 +9,11 @@ COUNTS = "plate_appearances at_bats hits doubles triples home_runs walks intenti
 
 
 def test_rates(spark):
-    full = (50, 40, 12, 3, 1, 2, 6, 1, 1, 8, 2, 1, 1, 2, 1)
+    full = (50, 40, 12, 3, 1, 2, 6, 1, 1, 8, 2, 1, 1, 3, 1)
     df = spark.createDataFrame([full, (None,) * 15], ", ".join(f"{c} int" for c in COUNTS))
     a, none = df.select(*[c.alias(k) for k, c in rates.batting().items()]).collect()
-    assert (a.avg, a.obp, a.slg, a.ops, a.iso) == (0.3, 0.388, 0.575, 0.963, 0.275) and a.babip == 0.312
-    assert a.xr == pytest.approx(round(3 + 2.16 + 1.04 + 2.88 + 2.04 + 0.25 + 0.36 - 0.32 - 1.8 - 0.784 - 0.37 + 0.74 + 0.04, 2))
+    assert (a.avg, a.obp, a.slg, a.ops, a.iso) == (0.3, 0.38, 0.575, 0.955, 0.275) and a.babip == 0.303
+    assert a.xr == pytest.approx(round(3 + 2.16 + 1.04 + 2.88 + 2.04 + 0.25 + 0.36 - 0.32 - 1.8 - 0.784 - 0.37 + 1.11 + 0.04, 2))
     assert set(none) == {0.0}
     assert df.select(rates.batting(matchup=True)["obp"]).first()[0] == 0.38
 
