@@ -36,6 +36,7 @@ def bm25(docs: DataFrame, key: str, text: str, title: str, words: list[str], k:
         hit = hit | F.lower(body).contains(w) | head.contains(w)
     own = docs.where(hit if where is None else hit & where)
     own = own.select(F.col(key).alias("key"), head.alias("head"), word_total(whole).alias("len0"), word_total(named).alias("len"), *[term_count(named, w).alias(f"tf{i}") for i, w in enumerate(words)], *[whole.contains(w).alias(f"in{i}") for i, w in enumerate(words)])
+    own = own.repartition("key")  # a few numbers a candidate; without it every use of one computes it from the text again
     stats = own.agg(F.count("*").alias("n"), F.greatest(F.coalesce(F.avg("len0"), F.lit(0.0)), F.lit(1.0)).alias("avg"), *[F.count_if(f"in{i}").alias(f"df{i}") for i in range(len(words))])
     x = own.crossJoin(F.broadcast(stats))
     score = F.lit(0.0)
