@@ -131,23 +131,29 @@ def plan(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3, most_
     return own, dealt
 
 
+def _sized(blocks: DataFrame, most_sent: int) -> DataFrame:
+    """Block rows to be joined: counted, sent to the tasks up to ``most_sent`` of them (some 20 MB), else joined by a shuffle.
+
+    Said outright, since files of such rows pack so well that their size on disk misleads.
+    """
+    return F.broadcast(blocks) if blocks.count() <= most_sent else blocks.hint("merge")
+
+
 def draws(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3, most_sent: int = 1 << 17) -> DataFrame:
     """The mix: the rows of ``docs`` as often as drawn, with mix_shard and mix_order (position key in the shard).
 
     Rows not drawn are absent.  Columns of ``docs`` of these two names are replaced.
     The order goes by doc_id, text and copy; only rows that agree in all three, and
-    so are the same text in the same shard, have one place.  Blocks are counted: up to
-    ``most_sent`` of them (some 10 MB) are sent to the tasks, so that texts are not
-    shuffled to meet them; more are joined by a shuffle.
+    so are the same text in the same shard, have one place.  Texts are not shuffled to
+    meet their blocks while these are few, see ``_sized``.
     """
     own, blocks = plan(docs, seed, shards, most)
-    to = blocks.select("_name", "_block", "shards")
-    out = own.join(F.broadcast(to) if blocks.count() <= most_sent else to, ["_name", "_block"]).select("doc", F.posexplode("shards").alias("_copy", "mix_shard"))
+    out = own.join(_sized(blocks.select("_name", "_block", "shards"), most_sent), ["_name", "_block"]).select("doc", F.posexplode("shards").alias("_copy", "mix_shard"))
     order = F.xxhash64(F.lit(seed + 2), F.col("doc.doc_id"), F.col("doc.text"), "_copy")
     return out.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c not in ("mix_shard", "mix_order")], "mix_shard", order.alias("mix_order"))
 
 
-def mix(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3, most_sent: int = 1 << 17) -> DataFrame:
     """By row of ``docs``: doc_id, size, source_size, target, taken, shards.
 
     size counts words, null texts 0; taken is size times the copies drawn;
@@ -157,5 +163,5 @@ def mix(docs: DataFrame, seed: int = 17, shards: int = 16, most: int = 3) -> Dat
     not looked at; an empty table gives an empty result.
     """
     own, blocks = plan(docs.select("doc_id", "source", "text"), seed, shards, most)
-    out = own.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "_name", "_block", F.col("_size").alias("size")).join(blocks, ["_name", "_block"])
+    out = own.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "_name", "_block", F.col("_size").alias("size")).join(_sized(blocks, most_sent), ["_name", "_block"])
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).cast("long").alias("taken"), F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards"))
