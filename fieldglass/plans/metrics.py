@@ -17,11 +17,12 @@ def r01(t: Tables):
     return counts.select("l_suppkey", ratio(F.col("h"), F.col("n")).alias("avg"), ratio(F.col("h"), F.col("q")).alias("slg"))
 
 
-@query("r09_games_behind", "SELECT o_custkey, greatest(((max(w) OVER () - w) + (l - min(l) OVER ())) / 2.0, 0)::DOUBLE AS behind FROM (SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS w, count(*) FILTER (WHERE o_orderstatus = 'O') AS l FROM orders GROUP BY 1)")
+@query("r09_games_behind", "WITH k AS (SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS w, count(*) FILTER (WHERE o_orderstatus = 'O') AS l FROM orders GROUP BY 1), t AS (SELECT w AS tw, l AS tl FROM k ORDER BY CASE WHEN w + l > 0 THEN w / (w + l) ELSE 0.0 END DESC, w DESC, o_custkey LIMIT 1) SELECT o_custkey, greatest(((tw - w) + (l - tl)) / 2.0, 0)::DOUBLE AS behind FROM k, t")
 def r09(t: Tables):
-    """The leader is one row of two figures."""
+    """The leader, by share of wins and then wins, is one row of two figures."""
     own = t.orders.groupBy("o_custkey").agg(F.count_if(F.col("o_orderstatus") == "F").alias("w"), F.count_if(F.col("o_orderstatus") == "O").alias("l"))
-    top = own.agg(F.max("w").alias("tw"), F.min("l").alias("tl"))
+    share = F.when(F.col("w") + F.col("l") > 0, F.col("w") / (F.col("w") + F.col("l"))).otherwise(0.0)
+    top = own.agg(F.min_by(F.struct(F.col("w").alias("tw"), F.col("l").alias("tl")), F.struct(-share, -F.col("w"), "o_custkey")).alias("x")).select("x.*")
     return own.join(F.broadcast(top)).select("o_custkey", batting.games_behind("w", "l", "tw", "tl").alias("behind"))
 
 
