@@ -69,6 +69,11 @@ _ANCHORS = _automaton()
 _ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
+def octets(address: str) -> bool:
+    """Whether each part is at most 255; parts may have leading zeros, any number of them."""
+    return all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in address.split(".")))
+
+
 def luhn(digits: str) -> bool:
     """Whether the check digit is right."""
     total = 0
@@ -118,7 +123,7 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
             if at >= free["ip"]:
                 m = _IP.match(text, at)
                 free["ip"] = m.end() if m else _DIGITS.match(text, at).end()
-                if m and all(len(p.lstrip("0")) < 4 and int(p) < 256 for p in m.group().split(".")):
+                if m and octets(m.group()):
                     out.append(("ip", at, m.end()))
         elif kind == "email":
             s = _email(text, at, free["email"])
@@ -211,7 +216,7 @@ def brute_force(text: str | None) -> list[tuple[str, int, int]]:
     """The base spans by their patterns, for tests."""
     t = text or ""
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
-    out += [("ip", *m.span()) for m in re.finditer(_IP, t) if all(int(p) <= 255 for p in m.group().split("."))]
+    out += [("ip", *m.span()) for m in re.finditer(_IP, t) if all(re.fullmatch("0*([01]?[0-9]?[0-9]|2[0-4][0-9]|25[0-5])", p) for p in m.group().split("."))]
     for m in re.finditer(_CARD, t):
         d = re.sub(r"[\x20-]", "", m.group())
         if 13 <= len(d) <= 19 and luhn(d):
