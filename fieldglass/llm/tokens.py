@@ -3,7 +3,8 @@
 Both kinds of file used here never let a token reach across the start of white
 space that follows a word, so the ids of a text are those of its stretches set
 side by side; the file itself is asked for this, and any other file has every text
-encoded whole.  Each worker keeps the ids of stretches it has met (each encoded
+encoded whole.  So has a text that may hold the string of one of the file's added
+tokens: the library finds these in texts too, and its ids count.  Each worker keeps the ids of stretches it has met (each encoded
 once by the library itself) in a table of bounded size; texts with white space
 other than single blanks and line feeds go to the library whole.
 """
@@ -17,9 +18,12 @@ import numpy as np
 import regex
 
 
+_MARK = "<|"
+
+
 def _plain(text: str) -> bool:
-    """Whether the fast path covers it: white space only as single blanks and line feeds between words."""
-    if "<|" in text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n":
+    """Whether the fast path covers it: no added token, white space only as single blanks and line feeds between words."""
+    if _MARK in text or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n":
         return False
     return len("".join(text.split())) == len(text) - text.count(" ") - text.count("\n")
 
@@ -75,10 +79,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         #: whether white space counts (byte-level) or is dropped (word ends)
         self.spaced = bool(self.library.encode(" a", add_special_tokens=False).ids != self.library.encode("a", add_special_tokens=False).ids)
-        self.fast = _in_stretches(json.loads(self.library.to_str()))
+        #: strings of added tokens all begin alike in the files used here; ``_plain`` leaves out texts that hold this beginning
+        marked = all(_MARK in t.content for t in self.library.get_added_tokens_decoder().values())
+        self.fast = marked and _in_stretches(json.loads(self.library.to_str()))
         self.first = Table(most_kept)
         self.later = Table(most_kept)
         #: text that keeps stretches apart in a joint call, and its id
