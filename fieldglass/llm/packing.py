@@ -6,14 +6,15 @@ new window) for which the sum of the squared counts grows least, so no level
 piles up and most levels keep partners for what comes next.  Documents longer
 than a window give off full windows first; only their rest is placed.
 
-Each partition packs its own stream in one pass.  Windows leave as soon as they
-are full.  A level whose windows find no partners (say, where all pieces are a
-little over half a window) would grow without end: with more than ``per_level``
-windows on a level two of them are laid end to end, cut where the first is full,
-and the rest takes its own level.  So at most ``per_level`` windows a level are held,
-2,046 of 1,024 tokens by default, however long the stream is.  At the end of the
-partition the open windows are laid end to end in the same way, which leaves one
-short window, so a partition pads less than a window whatever the lengths are.
+Each partition packs its own stream in one pass.  Windows leave as soon as they are
+full.  Windows that find no partners (say, where all pieces are a little over half a
+window) would grow without end: once open windows hold more than ``most_bytes`` of
+ids, two windows of the fullest level (that with most windows) are laid end to end,
+cut where the first is full, and the rest takes its own level, again and again until
+they hold less.  The bound is far above what windows that find partners need, so it
+decides nothing but how much a task may hold.  At the end of the partition the open
+windows are laid end to end in the same way, which leaves one short window, so a
+partition pads less than a window whatever the lengths are.
 """
 
 from __future__ import annotations
@@ -65,8 +66,8 @@ class Levels:
 class Packer:
     """Packs one stream; ``rows`` gathers (doc, start, crc, doc_tokens, sequence, offset)."""
 
-    def __init__(self, window: int, per_level: int, first_sequence: int):
-        self.window, self.most = window, per_level
+    def __init__(self, window: int, most_bytes: int, first_sequence: int):
+        self.window, self.most, self.held = window, most_bytes // 4, 0
         self.levels = Levels(window)
         self.open: list[list[list]] = [[] for _ in range(window + 1)]
         self.next = first_sequence
@@ -90,36 +91,39 @@ class Packer:
         level = self.levels.place(size)
         items = self.open[level].pop() if level else []
         items.append((doc, full, ids[full:].copy(), total))
+        self.held += size
         if level + size == w:
+            self.held -= w
             self._emit(items)
         else:
             self.open[level + size].append(items)
-            self._settle(level + size)
-
-    def _settle(self, level: int) -> None:
-        """Join windows of a level that holds too many, and of those that this fills."""
-        todo = [level]
-        while todo:
-            level = todo.pop()
-            while len(self.open[level]) > self.most:
-                room = self.window - level
-                row, rest = self.open[level].pop(), []
-                for doc, start, ids, total in self.open[level].pop():
-                    part, ids = ids[:room], ids[room:]
-                    room -= len(part)
-                    if len(part):
-                        row.append((doc, start, part, total))
-                    if len(ids):
-                        rest.append((doc, start + len(part), ids, total))
-                self.levels.counts[level] -= 2
-                size = min(2 * level, self.window)
-                if size == self.window:
-                    self._emit(row)
-                for at, items in ((size, row), (2 * level - size, rest)):
-                    if 0 < at < self.window:
-                        self.open[at].append(items)
-                        self.levels.counts[at] += 1
-                        todo.append(at)
+            while self.held > self.most and self._settle():
+                pass
+
+    def _settle(self) -> bool:
+        """Join two windows of the fullest level; False where no level holds two."""
+        level = int(self.levels.counts[1 : self.window].argmax()) + 1
+        if self.levels.counts[level] < 2:
+            return False
+        room = self.window - level
+        row, rest = self.open[level].pop(), []
+        for doc, start, ids, total in self.open[level].pop():
+            part, ids = ids[:room], ids[room:]
+            room -= len(part)
+            if len(part):
+                row.append((doc, start, part, total))
+            if len(ids):
+                rest.append((doc, start + len(part), ids, total))
+        self.levels.counts[level] -= 2
+        size = min(2 * level, self.window)
+        if size == self.window:
+            self.held -= size
+            self._emit(row)
+        for at, items in ((size, row), (2 * level - size, rest)):
+            if 0 < at < self.window:
+                self.open[at].append(items)
+                self.levels.counts[at] += 1
+        return True
 
     def flush(self) -> None:
         """Cut and join all open windows, the emptiest first."""
@@ -129,6 +133,7 @@ class Packer:
                 left += items
             self.open[level] = []
         self.levels.counts[:] = 0
+        self.held = 0
         row, room = [], self.window
         for doc, start, ids, total in left:
             while len(ids):
@@ -143,7 +148,7 @@ class Packer:
             self._emit(row)
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, per_level: int = 2) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, most_bytes: int = 64 << 20) -> DataFrame:
     """One row per piece of a document; see the module for the method.
 
     A null or empty text is its end id alone.  A null doc_id stays null, rows
@@ -155,7 +160,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0, p
 
     def run(batches):
         enc = encoder(tokenizer)
-        packer = Packer(window, per_level, TaskContext.get().partitionId() << 36)
+        packer = Packer(window, most_bytes, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], "<u4").tobytes()
 
         def batch():
