@@ -79,11 +79,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        #: the same, not looking for added tokens: for texts that cannot hold one, where it gives the same ids sooner
+        self.bare = Tokenizer.from_file(path)
+        self.bare.encode_special_tokens = True
         #: whether white space counts (byte-level) or is dropped (word ends)
         self.spaced = bool(self.library.encode(" a", add_special_tokens=False).ids != self.library.encode("a", add_special_tokens=False).ids)
         #: strings of added tokens all begin alike in the files used here; ``_plain`` leaves out texts that hold this beginning
-        marked = all(_MARK in t.content for t in self.library.get_added_tokens_decoder().values())
-        self.fast = marked and _in_stretches(json.loads(self.library.to_str()))
+        self.marked = all(_MARK in t.content for t in self.library.get_added_tokens_decoder().values())
+        self.fast = self.marked and _in_stretches(json.loads(self.library.to_str()))
         self.first = Table(most_kept)
         self.later = Table(most_kept)
         #: text that keeps stretches apart in a joint call, and its id
@@ -91,7 +94,8 @@ class Encoder:
         self.gap = self._whole([self.between])[0]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        many = getattr(self.library, "encode_batch_fast", self.library.encode_batch)
+        library = self.library if not self.marked or any(_MARK in t for t in texts) else self.bare
+        many = getattr(library, "encode_batch_fast", library.encode_batch)
         return [np.array(x.ids, "<u4").tobytes() for x in many(texts, add_special_tokens=False)]
 
     def _learn(self, kept: Table, words: set[str], lead: str) -> None:
