@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import html_paths, line_quality, media_archive, mixing, near_dedup, packing, pii, span_dedup, token_records, warc_fixity
+from . import html_paths, kmeans_tree, line_quality, media_archive, merkle_manifest, mixing, near_dedup, packing, pii, span_dedup, token_records, turn_repair, warc_fixity
 from .common import scratch, table, written
 
 
@@ -76,9 +77,25 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents; a fifth of their texts, named by crc32 of the id, is checked in lower case."""
+    lower = F.translate("text", merkle_manifest._UPPER, merkle_manifest._LOWER)
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"), F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, lower))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by rule, and its cheapest repair."""
+    return turn_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found for every twentieth vector."""
+    return kmeans_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_paths, op2_media_archive, op3_line_quality, op4_packing, op5_token_records, op6_warc_fixity, op7_mixing, op8_span_dedup, op9_pii, op10_near_dedup)
+    for f in (op1_html_paths, op2_media_archive, op3_line_quality, op4_packing, op5_token_records, op6_warc_fixity, op7_mixing, op8_span_dedup, op9_pii, op10_near_dedup, op11_merkle_manifest, op12_turn_repair, op13_kmeans_tree)
 }
 
 ORACLES: dict[str, str] = {
