@@ -142,6 +142,25 @@ def rrf(sparse: DataFrame, dense: DataFrame, k: int = 2, weight: float = 2.0) ->
     return s.join(d, ["query_id", "item_id"], "full").select("query_id", "item_id", F.round(part("rs", 1.0) + part("rd", weight), 6).alias("score"))
 
 
+def hybrid(sparse: DataFrame, dense: DataFrame, top: int = 5, k: int = 2, weight: float = 2.0) -> DataFrame:
+    """The ``top`` of two ranked lists (query_id, item_id, rank, content_hash) of the same questions, fused.
+
+    A dense hit that the sparse list has too is stale if the hashes differ (one of
+    them missing is a difference, both is none) and counts for nothing; one that
+    only the dense list has is taken as it is.  Ranks keep the gaps they come with.
+    Ties go to the better sparse rank, then the better dense rank.
+    """
+    s = sparse.select("query_id", "item_id", F.col("rank").alias("bm25_rank"), F.col("content_hash").alias("_s"), F.lit(True).alias("_there"))
+    d = dense.select("query_id", "item_id", F.col("rank").alias("vector_rank"), F.col("content_hash").alias("_d"))
+    both = s.join(d, ["query_id", "item_id"], "full")
+    stale = F.coalesce("_there", F.lit(False)) & ~F.col("_s").eqNullSafe(F.col("_d"))
+    both = both.withColumn("vector_rank", F.when(~stale, F.col("vector_rank")))
+    part = lambda r, w: F.coalesce(F.lit(w) / (F.lit(float(k)) + F.col(r)), F.lit(0.0))
+    out = both.withColumn("score", F.round(part("bm25_rank", 1.0) + part("vector_rank", weight), 6))
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("bm25_rank"), F.asc_nulls_last("vector_rank"))
+    return out.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= top).select("query_id", "item_id", "rank", "bm25_rank", "vector_rank", "score")
+
+
 def evaluate(top: DataFrame, asked: DataFrame, relevant: DataFrame, k: int) -> DataFrame:
     """By query: found, recall, precision (of k), reciprocal rank of the first hit, hit.
 

@@ -6,8 +6,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import records
-from ..operators import entities, retrieval
+from ..operators import entities, postings, retrieval
 from ..registry import Tables, query
+from .core import _HEAD, keyword_index
 from .plays import ANY, MATCH
 
 QUERIES = [
@@ -143,19 +144,62 @@ def t06(t: Tables):
     return x.select(F.col("item_id").alias("vec_id"), F.round(1 - F.col("score"), 6).alias("distance"))
 
 
-_SP = "sp AS (SELECT q.vec_id AS query_id, d.doc_id AS item_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY abs(d.n_chars - q.vec_id * 40), d.doc_id) AS rs FROM documents d, embeddings q WHERE q.vec_id % 50 = 0 AND d.doc_id % 2 = 0 QUALIFY rs <= 15)"
 _DN = "dn AS (SELECT q.vec_id AS query_id, e.vec_id AS item_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) DESC, e.vec_id) AS rd FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0 QUALIFY rd <= 15)"
 
 
-@query("k05_hybrid_search", f"WITH {_SP}, {_DN}, f AS (SELECT * FROM dn WHERE item_id % 7 <> 3) SELECT query_id, item_id, round(coalesce(1.0::DOUBLE / (2 + rs), 0) + coalesce(2.0::DOUBLE / (2 + rd), 0), 6) AS score FROM sp FULL JOIN f USING (query_id, item_id)")
+#: Two words of a text as a question: the beginning of its first word of three letters or more, and the second.
+_ASKED = "(SELECT {k} AS query_id, lower(substr(w[1], 1, 4)) AS a, lower(w[2]) AS b FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z]{{3,}}') AS w FROM documents WHERE {which}) WHERE len(w) > 1)"
+
+
+def _asked(t: Tables, which: str):
+    w = t.documents.where(which).select(F.col("doc_id").alias("query_id"), F.regexp_extract_all("text", F.lit("([A-Za-z]{3,})"), 1).alias("w")).where(F.size("w") > 1)
+    return w.select("query_id", F.array(F.lower(F.substring(F.col("w")[0], 1, 4)), F.lower(F.col("w")[1])).alias("words"))
+
+
+_RANKED = """q AS {asked}, d AS (SELECT doc_id AS item_id, lower(coalesce(title, '')) AS head, lower(coalesce(title, '') || ' ' || body) AS u, lower(coalesce(title, 'None') || ' ' || body) AS t FROM (SELECT doc_id, {head} AS title, coalesce(text, '') AS body FROM documents) {where}),
+    l AS (SELECT *, len(regexp_extract_all(u, '[^ \\t\\n\\r\\f\\x0B]+')) AS l0, len(regexp_extract_all(t, '[^ \\t\\n\\r\\f\\x0B]+')) AS n FROM d),
+    c AS (SELECT query_id, item_id, contains(head, a) AS ha, contains(head, b) AS hb, (length(t) - length(replace(t, a, ''))) // length(a) AS fa, (length(t) - length(replace(t, b, ''))) // length(b) AS fb, contains(u, a) AS ia, contains(u, b) AS ib, l0, n FROM l, q WHERE contains(u, a) OR contains(u, b)),
+    z AS (SELECT query_id, count(*) AS m, greatest(avg(l0), 1) AS av, count(*) FILTER (ia) AS da, count(*) FILTER (ib) AS db FROM c GROUP BY 1),
+    x AS (SELECT *, CASE WHEN fa > 0 THEN greatest(0.0, ln((m - da + 0.5) / (da + 0.5) + 1)) * (fa * 2.5) / (fa + 1.5 * (0.25 + 0.75 * n / av)) * CASE WHEN ha THEN 1.2 ELSE 1 END ELSE 0.0 END AS s0 FROM c JOIN z USING (query_id)),
+    y AS (SELECT query_id, item_id, round(CASE WHEN fb > 0 THEN (s0 + greatest(0.0, ln((m - db + 0.5) / (db + 0.5) + 1)) * (fb * 2.5) / (fb + 1.5 * (0.25 + 0.75 * n / av))) * CASE WHEN hb THEN 1.2 ELSE 1 END ELSE s0 END, 6) AS score FROM x),
+    sp AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id))::INT AS rs FROM y)"""
+
+
+@query("k01_many_questions", "WITH " + _RANKED.format(asked=_ASKED.format(k="doc_id", which="doc_id % 10 = 0"), head=_HEAD, where="WHERE CASE doc_id % 5 WHEN 0 THEN TRUE WHEN 1 THEN FALSE ELSE TRUE END") + " SELECT query_id, item_id AS key, score, rs AS rank FROM sp WHERE rs <= 5")
+def k01_many(t: Tables):
+    """A question for every tenth document in one plan, over what may be retrieved; no text but the questions' own is read."""
+    open_ = F.coalesce("index_status", F.lit("ACTIVE")).isin("ACTIVE", "INDEXED")
+    return postings.search(keyword_index(t), _asked(t, "doc_id % 10 = 0"), 5, where=open_)
+
+
+@query("k03_index_candidates", f"WITH d AS (SELECT doc_id, lower(coalesce({_HEAD}, '') || ' ' || coalesce(text, '')) AS u FROM documents) SELECT doc_id FROM d WHERE contains(u, 'token') OR contains(u, 'license') ORDER BY doc_id LIMIT 1000")
+def k03_index(t: Tables):
+    """The same limit, candidates from postings."""
+    asked = t.spark.createDataFrame([(0, ["token", "license"])], "query_id int, words array<string>")
+    return postings.candidates(keyword_index(t), asked).select(F.col("key").alias("doc_id"))
+
+
+_STALE = "sha256(text || CASE WHEN {k} % 3 = 0 THEN ' before' ELSE '' END)"
+
+
+@query("k05_hybrid_search", "WITH " + _RANKED.format(asked=_ASKED.format(k="doc_id", which="doc_id % 50 = 0 AND doc_id IN (SELECT vec_id FROM embeddings)"), head=_HEAD, where="") + f""", {_DN},
+    f AS (SELECT query_id, item_id, rs, rd, h, g FROM (SELECT query_id, item_id, rs, sha256(text) AS h FROM sp JOIN documents ON doc_id = item_id WHERE rs <= 15) FULL JOIN (SELECT query_id, item_id, rd, {_STALE.format(k='item_id')} AS g FROM dn LEFT JOIN documents ON doc_id = item_id WHERE query_id IN (SELECT query_id FROM q)) USING (query_id, item_id)),
+    v AS (SELECT query_id, item_id, rs, CASE WHEN rs IS NULL OR h IS NOT DISTINCT FROM g THEN rd END AS rd FROM f),
+    k AS (SELECT *, round(coalesce(1.0::DOUBLE / (2 + rs), 0) + coalesce(2.0::DOUBLE / (2 + rd), 0), 6) AS score FROM v)
+    SELECT query_id, item_id, rank, rs AS bm25_rank, rd AS vector_rank, score FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, rs NULLS LAST, rd NULLS LAST))::INT AS rank FROM k) WHERE rank <= 5""")
 def k05(t: Tables):
-    """Fifteen hits of each side a query; stale vector hits go after ranking, so ranks keep their gaps."""
-    asked = t.embeddings.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"))
-    w = W.partitionBy("query_id").orderBy(F.abs(F.col("n_chars") - F.col("query_id") * 40), "doc_id")
-    docs = t.documents.where("doc_id % 2 = 0").select("doc_id", "n_chars")
-    sparse = docs.join(F.broadcast(asked)).withColumn("rank", F.row_number().over(w)).where("rank <= 15").select("query_id", F.col("doc_id").alias("item_id"), "rank")
-    dense = retrieval.cosine_topk(t.embeddings, t.embeddings.where("vec_id % 50 = 0"), "vec_id", "embedding", "vec_id", "embedding", 15)
-    return retrieval.rrf(sparse, dense.where("item_id % 7 <> 3").select("query_id", "item_id", "rank"))
+    """Keywords and vectors of the same question over the same chunks, 15 hits of each, 5 returned.
+
+    A chunk's vector is the embedding of its id; of every third chunk the vector
+    index still has the hash of an older text.
+    """
+    with_vector = t.embeddings.where("vec_id % 50 = 0").select("vec_id", "embedding")
+    asked = _asked(t, "doc_id % 50 = 0").join(with_vector, F.col("query_id") == F.col("vec_id"))
+    index = keyword_index(t)
+    sparse = postings.search(index, asked, 15).join(index["docs"].select("key", "content_hash"), "key").select("query_id", F.col("key").alias("item_id"), "rank", "content_hash")
+    dense = retrieval.cosine_topk(t.embeddings, asked, "vec_id", "embedding", "query_id", "embedding", 15)
+    held = t.documents.select(F.col("doc_id").alias("item_id"), F.sha2(F.concat("text", F.when(F.col("doc_id") % 3 == 0, " before").otherwise("")), 256).alias("content_hash"))
+    return retrieval.hybrid(sparse, dense.join(held, "item_id", "left"), 5)
 
 
 @query(
