@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .stored import shared_folder
+
 
 def term_count(text: Column, term: str) -> Column:
     """Non-overlapping occurrences of ``term``."""
@@ -184,6 +188,30 @@ def nearest_rank(df: DataFrame, column: str, shares: dict[str, float]) -> DataFr
     return x.agg(*[F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * share), F.col(column))).alias(name) for name, share in shares.items()])
 
 
+def selected_ranks(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
+    """Nearest-rank percentiles of any number of different values in one row, NULLs left out.
+
+    Equal values become one with a count, values are dealt out by ranges, and the
+    counts of the ranges (a line each) say which range holds each rank; only those
+    are read again and counted through, each by itself.  An empty table gives NULLs.
+    """
+    spark = df.sparkSession
+    kind = df.schema[column].dataType
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    path = shared_folder(spark)
+    counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    laid = spark.read.parquet(path)
+    sizes = sorted((r.part, r.n) for r in laid.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    total, before, wanted = sum(n for _, n in sizes), 0, []
+    for part, n in sizes:
+        wanted += [(name, part, rank - before) for name, share in shares.items() if before < (rank := max(1, math.ceil(total * share))) <= before + n]
+        before += n
+    own = laid.where(F.col("part").isin([p for _, p, _ in wanted])).withColumn("upto", F.sum("n").over(W.partitionBy("part").orderBy("v")))
+    at = {name: (part, rank) for name, part, rank in wanted}
+    pick = lambda name: F.min(F.when((F.col("part") == at[name][0]) & (F.col("upto") >= at[name][1]), F.col("v"))) if name in at else F.lit(None).cast(kind)
+    return own.agg(F.count("*").alias("_n"), *[pick(name).alias(name) for name in shares]).drop("_n")
+
+
 def cache_hits(docs: DataFrame, key: str, text: str, store: DataFrame) -> DataFrame:
     """(key, hit): whether the hash of a text is among the hashes ``h`` of the store; hashes are shuffled, texts are not."""
     own = docs.select(key, F.sha2(F.col(text), 256).alias("h"))

@@ -36,6 +36,21 @@ def form(games: DataFrame, r: dict[str, str]) -> DataFrame:
     )
 
 
+def held(last: DataFrame) -> DataFrame:
+    """``last`` (a row by date and team at most) with each row held until the day before its team's next one.
+
+    A row becomes the days of its own interval, and those that are a date of any team
+    stay by an equality join; dates are never compared with teams.  The last row of a
+    team holds until the last date of all.
+    """
+    follows = F.lead("date").over(W.partitionBy("team").orderBy("date"))
+    end = last.agg(F.max("date").alias("_end"))
+    x = last.withColumn("_next", follows).crossJoin(F.broadcast(end))  # one row
+    x = x.withColumn("_day", F.explode(F.sequence("date", F.coalesce(F.date_sub("_next", 1), F.col("_end")))))
+    x = x.join(last.select(F.col("date").alias("_day")).distinct(), "_day")
+    return x.select(F.col("_day").alias("date"), *[c for c in last.columns if c != "date"])
+
+
 def table(games: DataFrame, r: dict[str, str]) -> DataFrame:
     """The dense standings: one row per date and team seen so far, ranked, with games behind the leader.
 
@@ -43,10 +58,7 @@ def table(games: DataFrame, r: dict[str, str]) -> DataFrame:
     """
     f = form(games, r)
     last = f.groupBy("date", "team").agg(*[F.max_by(c, F.struct("game", "is_home")).alias(c) for c in ("wins", "losses", "draws", "streak")])
-    first = last.groupBy("team").agg(F.min("date").alias("since"))
-    spine = last.select("date").distinct().join(first, F.col("date") >= F.col("since")).select("date", "team")
-    by = W.partitionBy("team").orderBy("date").rowsBetween(W.unboundedPreceding, 0)
-    dense = spine.join(last, ["date", "team"], "left").select("date", "team", *[F.last(c, ignorenulls=True).over(by).alias(c) for c in ("wins", "losses", "draws", "streak")])
+    dense = held(last)
     played = F.col("wins") + F.col("losses")
     dense = dense.withColumn("pct", F.when(played > 0, F.col("wins") / played).otherwise(F.lit(0.0)))
     day = W.partitionBy("date").orderBy(F.desc("pct"), F.desc("wins"), F.asc("team"))
@@ -61,19 +73,14 @@ CARRIED = ("wins", "losses", "draws", "streak", "runs_scored", "runs_allowed", "
 def snapshot(games: DataFrame, r: dict[str, str], top: int = 5) -> DataFrame:
     """The dense standings with runs, home and away records, the last ten and a flag for the ``top`` ranks.
 
-    One row per date and team seen so far.  The spine is built from each team's first
-    date by a range of dates, so dates and teams are joined by a condition Spark
-    plans as it likes; both are few beside the games.
+    One row per date and team seen so far.
     """
     f = form(games, r)
     run = W.partitionBy("team").orderBy("date", "game", "is_home").rowsBetween(W.unboundedPreceding, 0)
     count = lambda home, res: F.count_if((F.col("is_home") == F.lit(home)) & (F.col("res") == res)).over(run)
     f = f.withColumns({"home_wins": count(True, "W"), "home_losses": count(True, "L"), "away_wins": count(False, "W"), "away_losses": count(False, "L")})
     last = f.groupBy("date", "team").agg(*[F.max_by(c, F.struct("game", "is_home")).alias(c) for c in CARRIED])
-    first = last.groupBy("team").agg(F.min("date").alias("since"))
-    spine = last.select("date").distinct().join(first, F.col("date") >= F.col("since")).select("date", "team")
-    by = W.partitionBy("team").orderBy("date").rowsBetween(W.unboundedPreceding, 0)
-    dense = spine.join(last, ["date", "team"], "left").select("date", "team", *[F.last(c, ignorenulls=True).over(by).alias(c) for c in CARRIED])
+    dense = held(last)
     played = F.col("wins") + F.col("losses")
     dense = dense.withColumn("pct", F.when(played > 0, F.col("wins") / played).otherwise(F.lit(0.0)))
     day = W.partitionBy("date").orderBy(F.desc("pct"), F.desc("wins"), F.asc("team"))

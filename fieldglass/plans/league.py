@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import batting as projection
 from ..functions import rates
-from ..operators import basics, season
+from ..operators import basics, patterns, season
 from ..registry import Tables, query
 
 _Q = "CAST(l_quantity AS BIGINT)"
@@ -382,6 +382,24 @@ def j19(t: Tables):
     return hit.groupBy("event_id").agg(F.min_by("found", "place").alias("found"))
 
 
+@query(
+    "j19_names_of_the_game",
+    "WITH n AS (SELECT l_orderkey AS game, l_linenumber AS place, 'N' || (l_partkey % 90)::VARCHAR || '.' AS name FROM lineitem), e AS (SELECT o_orderkey AS game, 'error by N' || (o_custkey % 90)::VARCHAR || '. near N' || (o_orderkey % 90)::VARCHAR || '. and N' || (o_custkey % 7)::VARCHAR || '.' AS text FROM orders) SELECT game AS event_id, min(place)::BIGINT AS place FROM e JOIN n USING (game) WHERE contains(text, name) GROUP BY 1",
+)
+def j19_game(t: Tables):
+    """Each event's first lineup row, of its own game, whose name its text contains."""
+    names = t.lineitem.select(F.col("l_orderkey").alias("game"), F.col("l_linenumber").alias("place"), F.expr("'N' || (l_partkey % 90) || '.'").alias("name"))
+    events = t.orders.select(F.col("o_orderkey").alias("game"), F.col("o_orderkey").alias("event_id"), F.expr("'error by N' || (o_custkey % 90) || '. near N' || (o_orderkey % 90) || '. and N' || (o_custkey % 7) || '.'").alias("text"))
+    return patterns.first_in_group(events, "event_id", "text", names, "place", "name", "game")
+
+
+@query("j19_passages", "SELECT doc_id, min(item_id)::BIGINT AS place FROM documents, (SELECT item_id, substr(text, 1, 24) AS p FROM benchmark UNION ALL SELECT 1000 + p_partkey, 'item ' || p_partkey::VARCHAR FROM part UNION ALL SELECT 100000 + n_nationkey, substr(n_name, 1, 1) || 'n' FROM nation) WHERE contains(text, p) GROUP BY 1")
+def j19_passages(t: Tables):
+    """The first of many passages, numbers and short marks that a document contains."""
+    p = t.benchmark.selectExpr("item_id", "substr(text, 1, 24) AS p").unionByName(t.part.selectExpr("1000 + p_partkey AS item_id", "concat('item ', p_partkey) AS p")).unionByName(t.nation.selectExpr("CAST(100000 + n_nationkey AS BIGINT) AS item_id", "concat(substr(n_name, 1, 1), 'n') AS p"))
+    return patterns.first_of_all(t.documents, "doc_id", "text", p, "item_id", "p")
+
+
 _HIST = "pa, at_bats, hits, home_runs, walks, strikeouts, total_bases"
 
 

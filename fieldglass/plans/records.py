@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ratios import half_up
+from ..operators import intervals
 from ..registry import Tables, query
 
 
@@ -103,6 +104,22 @@ def j12(t: Tables):
     return years.join(F.broadcast(era), F.expr("y between first and coalesce(last, 9999)")).groupBy("era").agg(F.sum("n").alias("n_orders"))
 
 
+@query(
+    "j12_interval_join",
+    """WITH v AS (SELECT c_custkey AS version, c_custkey % 5 AS branch, CASE WHEN c_custkey % 101 = 0 THEN NULL ELSE DATE '1992-01-01' + (c_custkey * 37 % 2400)::INT END AS first, CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE DATE '1992-01-01' + (c_custkey * 37 % 2400 + c_custkey % 40 - 3)::INT END AS last FROM customer),
+    o AS (SELECT o_orderkey, o_custkey % 5 AS branch, CASE WHEN o_orderkey % 53 > 0 THEN o_orderdate::DATE END AS day FROM orders)
+    SELECT o_orderkey, count(*) AS n, min(version) AS least, max(version) AS most, sum(version)::BIGINT AS total FROM o JOIN v ON o.branch = v.branch AND (first IS NULL OR day >= first) AND (last IS NULL OR day <= last) WHERE day IS NOT NULL AND (first IS NULL OR last IS NULL OR first <= last) GROUP BY 1""",
+)
+def j12_many(t: Tables):
+    """A version of each customer's branch by validity: ranges that overlap, are open at an end, or end before they start."""
+    k = F.col("c_custkey")
+    day = lambda n: F.date_add(F.to_date(F.lit("1992-01-01")), n.cast("int"))
+    versions = t.customer.select(k.alias("version"), (k % 5).alias("branch"), F.when(k % 101 > 0, day(k * 37 % 2400)).alias("first"), F.when(k % 97 > 0, day(k * 37 % 2400 + k % 40 - 3)).alias("last"))
+    orders = t.orders.select("o_orderkey", (F.col("o_custkey") % 5).alias("branch"), F.when(F.col("o_orderkey") % 53 > 0, F.to_date("o_orderdate")).alias("day"))
+    found = intervals.range_join(orders, "day", versions, "first", "last", ["branch"])
+    return found.groupBy("o_orderkey").agg(F.count("*").alias("n"), F.min("version").alias("least"), F.max("version").alias("most"), F.sum("version").alias("total"))
+
+
 @query("j15_lookup", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'final' WHEN 'O' THEN 'open' ELSE 'unknown' END AS state FROM orders")
 def j15(t: Tables):
     names = F.create_map(F.lit("F"), F.lit("final"), F.lit("O"), F.lit("open"))

@@ -221,6 +221,12 @@ def k09_latency(t: Tables):
     return retrieval.nearest_rank(t.lineitem.select((F.col("l_quantity") * 10).cast("long").alias("ms")), "ms", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
 
 
+@query("k09_selected_ranks", "WITH s AS (SELECT l_extendedprice AS v, row_number() OVER (ORDER BY l_extendedprice) AS rn, count(*) OVER () AS n FROM lineitem WHERE l_extendedprice IS NOT NULL) SELECT min(v) FILTER (rn >= ceil(n * 0.5)) AS p50, min(v) FILTER (rn >= ceil(n * 0.95)) AS p95, min(v) FILTER (rn >= ceil(n * 0.999)) AS p999 FROM s")
+def k09_selected(t: Tables):
+    """Nearest ranks of fractional values, from the ranges that hold them."""
+    return retrieval.selected_ranks(t.lineitem, "l_extendedprice", {"p50": 0.5, "p95": 0.95, "p999": 0.999})
+
+
 _HASH = "CASE WHEN {k} % 11 = 0 THEN NULL ELSE 'h' || ({k} % {m})::VARCHAR END"
 
 
