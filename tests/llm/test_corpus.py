@@ -436,6 +436,44 @@ def test_form_round_the_page_and_form_in_it():
     assert html_paths.main_text(page) == TALE
 
 
+def test_an_anchor_that_is_never_closed():
+    assert html_paths.main_text('<article><a name="x"><h1>T</h1><p>Some words, here.</p></article>') == "T\n\nSome words, here."
+    assert html_paths.main_text(f'<article><h1><a href="/x">T</h1><p>{STORY[0]}</p><p><a href=/y>one<a href=/z>two</a> {STORY[1]}</p></article>') == f"T\n\n{STORY[0].strip()}\n\nonetwo {STORY[1].strip()}"
+    assert html_paths.main_text(f"<article><p>Read <a href=/a>this</a> first. {STORY[0]}</p></article>") == f"Read this first. {STORY[0].strip()}"
+
+
+def test_comments_under_a_heading_without_a_class():
+    story = "".join(f"<p>{p}</p>" for p in STORY) + f"<p>{STORY[0]}</p><p>{STORY[1]}</p>"
+    talk = f"<h2>3 Comments</h2><p>{'I do not agree, at all, with any of it. ' * 60}</p>"
+    want = f"{TALE}\n\n{STORY[0].strip()}\n\n{STORY[1].strip()}"
+    assert html_paths.main_text(f"<body><article>{story}</article><section>{talk}</section></body>") == want
+    assert html_paths.main_text(f"<body><article>{story}<section>{talk}</section></article></body>") == want
+    assert html_paths.main_text(f"<body><article>{story}{talk}<h2>After</h2><p>{STORY[2]}</p></article></body>") == f"{want}\n\nAfter\n\n{STORY[2].strip()}"
+    assert html_paths.main_text(f"<body><div>{story}</div><section>{talk}</section></body>") == want
+
+
+def test_a_small_article_beside_a_long_notice():
+    notice = "This site needs your consent, for a number of reasons, before it goes on. " * 20
+    assert html_paths.main_text(f"<body><div>{notice}</div><article><h1>T</h1><p>Tiny.</p></article><div>{notice}</div></body>") == "T\n\nTiny."
+    assert html_paths.main_text(f"<body><div><p>{STORY[0]}</p><p>{STORY[1]}</p></div><article><h2><a href=/n>Next one</a></h2><p>Read on.</p></article></body>") == f"{STORY[0].strip()}\n\n{STORY[1].strip()}"
+
+
+@pytest.mark.parametrize("name", ["div", "article", "section class=sidebar", "b", "li", "main", "form"])
+def test_deep_nesting_takes_little(name):
+    import time
+    import tracemalloc
+
+    n, tag = 20_000, name.split()[0]
+    page = f"<{name}>x. " * n + f"<p>{STORY[0]}" + f"</{tag}>" * n
+    began = time.process_time()
+    html_paths.main_text(f"<body>{page}</body>")
+    assert time.process_time() - began < 4
+    tracemalloc.start()
+    html_paths.main_text(page[: len(page) // 4])
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
 def test_comments_longer_than_the_article():
     page = f"<body><div class=sidebar-page><article><p>{STORY[0]}</article></div><div class=comments>{''.join(f'<p>{p}' for p in STORY * 2)}</div></body>"
     assert html_paths.main_text(page) == STORY[0].strip()
