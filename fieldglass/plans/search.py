@@ -6,7 +6,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import records
-from ..operators import entities, postings, retrieval
+from ..operators import entities, postings, retrieval, vectors
+from ..operators.stored import built_once, state_of
 from ..registry import Tables, query
 from .core import _HEAD, keyword_index
 from .plays import ANY, MATCH
@@ -137,6 +138,31 @@ def k04(t: Tables):
     return retrieval.cosine_topk(v.where(retrieval.chunk_filter(team_id="T1", season_year=2020)), t.embeddings.where("vec_id % 50 = 0"), "vec_id", "embedding", "vec_id", "embedding", 5, digits=4)
 
 
+@query("k04_index_recall", "SELECT count(*) AS questions, TRUE AS enough FROM embeddings WHERE vec_id % 50 = 0")
+def k04_index(t: Tables):
+    """Every fiftieth vector asked of the index of all, held against exact search: nine tenths of the five nearest are found."""
+    book, index = vector_index(t)
+    asked = t.embeddings.where("vec_id % 50 = 0")
+    found = vectors.search(index, book, asked, "vec_id", "embedding")
+    return vectors.recall(found, t.embeddings, asked, "vec_id", "embedding", "vec_id", "embedding").select("questions", (F.col("recall") >= 0.9).alias("enough"))
+
+
+_BOOKS: dict = {}
+
+
+def vector_index(t: Tables):
+    """(codebook, tables) of the embeddings, fitted and built at the first question."""
+    path = f"{t.folder}/embeddings.parquet"
+    key = (t.spark.sparkContext.applicationId, *state_of(t.spark, path))
+    if key not in _BOOKS:
+        _BOOKS[key] = vectors.fit(t.embeddings, "embedding")
+    book = _BOOKS[key]
+    index = built_once(t.spark, "vectors", [path], lambda: vectors.build(t.embeddings, "vec_id", "embedding", book))
+    if book.probes is None:
+        vectors.calibrate(index, book, t.embeddings, "vec_id", "embedding")
+    return book, index
+
+
 @query("t06_nearest", "SELECT e.vec_id, round(1 - list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS distance FROM embeddings e, embeddings q WHERE q.vec_id = 0 ORDER BY distance, e.vec_id LIMIT 10")
 def t06(t: Tables):
     """The ten items nearest to one."""

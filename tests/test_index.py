@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from fieldglass.operators import postings, retrieval
+from fieldglass.operators import postings, retrieval, vectors
 from fieldglass.operators.stored import built_once
 
 WORDS = ["none", "no", "on", "nonet", "Run", "runs", "éta", "ét", "a", "aa", "aaaa", "x" * 40, "o.o", "%", "안타", "안타를"]
@@ -99,3 +99,33 @@ def test_hybrid_drops_stale_hits_and_keeps_gaps(spark):
     got = [tuple(x) for x in retrieval.hybrid(sparse, dense, 4).orderBy("query_id", "rank").collect()]
     score = lambda s, d: round((1 / (2 + s) if s else 0) + (2 / (2 + d) if d else 0), 6)
     assert got == [(1, 11, 1, 2, 2, score(2, 2)), (1, 12, 2, 3, 4, score(3, 4)), (1, 20, 3, None, 3, score(0, 3)), (1, 10, 4, 1, None, score(1, 0)), (2, 20, 1, None, 1, score(0, 1))]
+
+
+def test_vector_index_finds_nine_tenths(spark, tmp_path):
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    x = r.normal(size=(30, 24))[r.integers(30, size=3000)] + 0.6 * r.normal(size=(3000, 24))
+    x[500:1500] = x[3]  # a third are copies
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(5000, None), (5001, [0.0] * 24), (5002, [1.0]), (5003, [None] * 24), (None, x[0].tolist())]
+    path = str(tmp_path / "v")
+    spark.createDataFrame(rows, "id long, v array<double>").repartition(4).write.parquet(path)
+    items = spark.read.parquet(path)
+    book = vectors.fit(items, "v", sample=2000)
+    index = built_once(spark, "v", [path], lambda: vectors.build(items, "id", "v", book))
+    assert index["codes"].count() == 3000 and len(book.coarse) <= 55
+    asked = items.where("id % 50 = 0")
+    assert 1 <= vectors.calibrate(index, book, items, "id", "v") <= len(book.coarse)
+    found = vectors.search(index, book, asked, "id", "v")
+    said = vectors.recall(found, items.where("id is not null"), asked, "id", "v", "id", "v").first()
+    assert said.questions == 60 and said.recall >= 0.9
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    got: dict = {}
+    for q in found.collect():
+        got.setdefault(q.query_id, []).append((q["rank"], q.item_id))
+        assert abs(q.score - u[q.item_id] @ u[q.query_id]) < 1e-6
+    assert got.keys() == {i for i in range(0, 3000, 50)} and all([a for a, _ in sorted(v)] == [1, 2, 3, 4, 5] for v in got.values())
+    whole = vectors.search(index, book, asked.where("id < 500"), "id", "v", probes=len(book.coarse), again=600)
+    exact = retrieval.cosine_topk(items.where("id is not null"), asked.where("id < 500"), "id", "v", "id", "v")
+    assert {(a.query_id, a.item_id) for a in whole.collect()} == {(a.query_id, a.item_id) for a in exact.collect()}
+    assert vectors.fit(items.where("id >= 5000 and id <> 5002"), "v") is None
