@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import chunking
 from ..registry import Tables, query
-from ..sources import html_tables, html_text, merge, upsert
+from ..operators.stored import shared_folder, state_of
+from ..sources import KeyedTable, html_tables, html_text, merge, published, upsert
 from ..streaming import changed_only, purged, replay
 from ..streaming.live import event_key
 
@@ -31,6 +32,59 @@ def s16(t: Tables):
     return merge(*_sides(t), ["c_custkey"])
 
 
+_ORDERS = "o_orderkey long, o_orderstatus string, o_orderdate timestamp, year int"
+_KEPT: dict = {}
+
+
+def _published_orders(t: Tables) -> str:
+    """The orders as a published table of files by ranges of keys, with zone maps; written at the first call."""
+    path = f"{t.folder}/orders.parquet"
+    key = (t.spark.sparkContext.applicationId, *state_of(t.spark, path))
+    if key not in _KEPT:
+        folder = shared_folder(t.spark)
+        rows = t.orders.select("o_orderkey", "o_orderstatus", "o_orderdate", F.year("o_orderdate").alias("year"))
+        published.write(rows.repartitionByRange(16, "o_orderkey"), folder, zones=["o_orderkey"])
+        _KEPT[key] = folder
+    return _KEPT[key]
+
+
+@query("s12_zone_page", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey > 5000 ORDER BY o_orderkey LIMIT 500")
+def s12_zones(t: Tables):
+    """A page after a key, from the files whose zone maps say that they may hold it."""
+    return published.page(t.spark, _published_orders(t), _ORDERS, "o_orderkey", 5000, 500).select("o_orderkey", "o_orderstatus")
+
+
+@query("s18_zone_since", "SELECT o_orderkey FROM orders WHERE o_orderkey >= (SELECT max(o_orderkey) * 9 // 10 FROM orders)")
+def s18_zones(t: Tables):
+    """What a mark or later is, without opening files that end before it."""
+    path = _published_orders(t)
+    mark = max(f["zones"]["o_orderkey"][1] for f in published.manifest(path)["files"]) * 9 // 10
+    return published.since(t.spark, path, _ORDERS, "o_orderkey", mark).select("o_orderkey")
+
+
+@query("s17_replaced_years", "SELECT o_orderkey, year(o_orderdate)::INT AS year FROM orders WHERE year(o_orderdate) NOT IN (1995, 1996) OR (year(o_orderdate) = 1995 AND o_orderstatus = 'F')")
+def s17(t: Tables):
+    """Two years are rebuilt; one of them has no rows any more and goes."""
+    folder = shared_folder(t.spark)
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_orderdate", F.year("o_orderdate").alias("year"))
+    published.write(rows, folder, by="year")
+    published.write(rows.where("year = 1995 AND o_orderstatus = 'F'"), folder, by="year", replace=[1995, 1996])
+    return published.read(t.spark, folder, _ORDERS).select("o_orderkey", "year")
+
+
+@query("m07_keyed_batches", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'second' ELSE c_mktsegment END AS c_mktsegment, c_nationkey FROM customer UNION ALL SELECT c_custkey + 1000000, NULL, 7 FROM customer WHERE c_custkey % 50 = 0")
+def m07(t: Tables):
+    """Two batches of changes to a keyed table; the second comes twice and counts once."""
+    table = KeyedTable(shared_folder(t.spark), "c_custkey long, c_mktsegment string, c_nationkey int", ["c_custkey"], buckets=8)
+    k = F.col("c_custkey")
+    table.apply(t.customer.select("c_custkey", "c_mktsegment", "c_nationkey"), 0)
+    changed = t.customer.select("c_custkey", F.when(k % 3 == 0, "second").alias("c_mktsegment"), F.lit(None).cast("int").alias("c_nationkey"))
+    second = changed.unionByName(t.customer.where(k % 50 == 0).select((k + 1000000).alias("c_custkey"), F.lit(None).cast("string").alias("c_mktsegment"), F.lit(7).alias("c_nationkey")))
+    table.apply(second, 1)
+    table.apply(second, 1)
+    return table.read(t.spark)
+
+
 @query("m02_replay", "SELECT user_id, count(*) AS n, string_agg(event_type, ',' ORDER BY event_id) AS buffer FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn <= 500 GROUP BY 1")
 def m02(t: Tables):
     """The last 500 events of each game, oldest first."""
