@@ -205,3 +205,22 @@ def brute_force(rows, tamper) -> list[tuple]:
             folded = fold(leaf((*r[:4], tamper(r))), path)
             out.append((r[0], leaf(r), trees[s][-1][0], top[-1][0], digest("".join(b + a for b, a in path)), folded, folded == top[-1][0]))
     return out
+
+
+#: The rows of the query over ``documents``, by recursion over lists of digests.
+ORACLE = """
+        WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda n: list_reduce([n::UBIGINT] || list_transform(range(8), lambda x: x::UBIGINT), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS t),
+        f AS (SELECT doc_id, source, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+            text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT) AS digits FROM documents),
+        d AS (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(low) || ':' || low, '-')) AS other,
+            coalesce(xor(list_reduce([4294967295::UBIGINT] || digits, lambda c, b: xor(c >> 8, t[(xor(c, b) % 256 + 1)::BIGINT])), 4294967295::UBIGINT) % 5 = 0, FALSE) AS hit FROM f, crc),
+        lv AS (SELECT source, 0 AS lev, list(leaf ORDER BY doc_id NULLS FIRST, leaf) AS l FROM d GROUP BY source
+            UNION ALL SELECT source, lev + 1, list_transform(range((len(l) + 15) // 16), lambda i: sha256(array_to_string(l[16 * i + 1 : 16 * i + 16], ''))) FROM lv WHERE len(l) > 1),
+        sub AS (SELECT source, l[1] AS subroot, lev AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS q FROM lv WHERE len(l) = 1),
+        top AS (SELECT 0 AS lev, list(subroot ORDER BY q) AS l FROM sub UNION ALL SELECT lev + 1, list_transform(range((len(l) + 15) // 16), lambda i: sha256(array_to_string(l[16 * i + 1 : 16 * i + 16], ''))) FROM top WHERE len(l) > 1),
+        pos AS (SELECT d.*, subroot, height, q, row_number() OVER () AS r, row_number() OVER (PARTITION BY d.source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM d JOIN sub ON d.source IS NOT DISTINCT FROM sub.source),
+        way AS (SELECT r, lev AS k, p // (16 ** lev)::BIGINT AS i, l FROM pos JOIN lv ON pos.source IS NOT DISTINCT FROM lv.source AND len(l) > 1 UNION ALL SELECT r, height + lev, q // (16 ** lev)::BIGINT, l FROM pos, top WHERE len(l) > 1),
+        step AS (SELECT r, list({'b': array_to_string(l[i // 16 * 16 + 1 : i], ''), 'a': array_to_string(l[i + 2 : i // 16 * 16 + 16], ''), 'x': ''} ORDER BY k) AS s FROM way GROUP BY r),
+        done AS (SELECT pos.*, coalesce(s, []) AS s, (SELECT l[1] FROM top WHERE len(l) = 1) AS root FROM pos LEFT JOIN step USING (r)),
+        said AS (SELECT *, sha256(array_to_string(list_transform(s, lambda y: y.b || y.a), '')) AS proof_sha256, list_reduce([{'b': '', 'a': '', 'x': CASE WHEN hit THEN other ELSE leaf END}] || s, lambda c, y: {'b': '', 'a': '', 'x': sha256(y.b || c.x || y.a)}).x AS folded_root FROM done)
+        SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM said"""

@@ -100,6 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_line_quality": line_quality.ORACLE,
+    "op11_merkle_manifest": merkle_manifest.ORACLE,
+    "op12_turn_repair": turn_repair.oracle(),
     "op6_warc_fixity": """
         SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n_bytes, sha256(coalesce(html, '')) AS payload_sha256,
             CASE WHEN page_id % 97 = 0 THEN 'mismatch' ELSE 'ok' END AS status

@@ -398,3 +398,37 @@ def brute_force(turns) -> tuple:
     roles = [r[:1] for _, r, _ in turns]
     illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(roles, roles[1:]))
     return (gaps, *(flaws.count(k) for k in (1, 2, 3)), illegal, best[0], best[1], hashlib.sha256(best[2].encode()).hexdigest())
+
+
+def oracle() -> str:
+    """The rows of the query over ``conversations``: a fold that holds, by state, the cheapest edits so far and their ASCII-least letters."""
+    big = 1000000000
+    s = lambda c, a: f"{{'c': {c}, 'a': {a}}}"
+    st = lambda p: f"g.st[{p + 1}]"
+    delete = lambda q: s(f"{st(q)}.c + 2", f"{st(q)}.a || 'D'")
+
+    def take(p, q, ins):
+        price = f"CASE WHEN r.flaw IN (1, 2) THEN {big} ELSE CASE WHEN r.flaw = 3 THEN 5 ELSE 0 END + CASE WHEN r.ini = '{' sua'[q]}' THEN 0 ELSE {1 if q > 1 else big} END END"
+        return s(f"{st(p)}.c + {5 * ins} + {price}", f"{st(p)}.a || '{'I' * ins}' || CASE WHEN r.ini = '{' sua'[q]}' THEN 'K' ELSE 'R' END")
+
+    ways = {1: [(0, 0)], 2: [(0, 0), (1, 0), (3, 0), (2, 1)], 3: [(2, 0), (0, 1), (1, 1), (3, 1)]}
+    new = [delete(0)] + [f"list_min([{', '.join([delete(q)] + [take(p, q, i) for p, i in ways[q]])}])" for q in (1, 2, 3)]
+    start = "[" + ", ".join(s(f"{0 if p == 0 else big}::BIGINT", "''") for p in range(4)) + "]"
+    end = "list_min([" + ", ".join(s(f"z.st[{p + 1}].c + {5 * n}", f"z.st[{p + 1}].a || '{'I' * n}'") for p, n in enumerate((0, 2, 1, 0))) + "])"
+    return f"""
+        WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce([n::UBIGINT] || list_transform(range(8), lambda x: x::UBIGINT), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS t),
+        k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::UBIGINT) AS b FROM conversations),
+        h AS (SELECT *, xor(list_reduce([4294967295::UBIGINT] || b, lambda c, x: xor(c >> 8, t[(xor(c, x) % 256 + 1)::BIGINT])), 4294967295::UBIGINT) % 20 AS code FROM k, crc),
+        e AS (SELECT conv_id, turn, role AS was, sha256(text) AS tie, CASE WHEN code = 4 THEN 'user' ELSE role END AS role, CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h),
+        m AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, was, tie, copy) AS i, substr(role, 1, 1) AS ini FROM e),
+        n AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2 WHEN regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS flaw, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM m),
+        a AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (flaw = 1) AS blank, count(*) FILTER (flaw = 2) AS duplicate, count(*) FILTER (flaw = 3) AS truncated, count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal,
+            list({{'st': {start}, 'ini': ini, 'flaw': flaw}} ORDER BY i) AS rs FROM n GROUP BY conv_id),
+        y AS (SELECT *, list_reduce([{{'st': {start}, 'ini': '', 'flaw': 0}}] || rs, lambda g, r: {{'st': [{', '.join(new)}], 'ini': '', 'flaw': 0}}) AS z FROM a),
+        w AS (SELECT *, {end} AS best FROM y),
+        l AS (SELECT conv_id, unnest(string_split(best.a, '')) AS x, generate_subscripts(string_split(best.a, ''), 1) AS j FROM w WHERE best.a <> ''),
+        p AS (SELECT *, sum((x <> 'I')::INT) OVER v AS i, sum((x <> 'D')::INT) OVER v - 1 AS o FROM l WINDOW v AS (PARTITION BY conv_id ORDER BY j)),
+        q AS (SELECT p.*, role, text, max((o = 0 AND x = 'K' AND ini = 's')::INT) OVER (PARTITION BY p.conv_id) AS s FROM p LEFT JOIN n ON p.conv_id IS NOT DISTINCT FROM n.conv_id AND p.i = n.i),
+        u AS (SELECT conv_id, string_agg(CASE WHEN x = 'K' THEN role WHEN (o - s) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN x = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS t FROM q WHERE x <> 'D' GROUP BY conv_id)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN w ON c.conv_id IS NOT DISTINCT FROM w.conv_id LEFT JOIN u ON c.conv_id IS NOT DISTINCT FROM u.conv_id"""

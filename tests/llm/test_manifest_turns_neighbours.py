@@ -144,3 +144,27 @@ def test_whole_tree_is_exact(spark):
     assert kmeans_tree.nearest(df.where("false"), F.lit(True)).count() == 0
     assert kmeans_tree.nearest(df.where("vec_id = 5001"), F.lit(True)).count() == 0
     assert kmeans_tree.nearest(df, F.lit(False)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op11_merkle_manifest", "op12_turn_repair"])
+def test_queries_are_their_sql(spark, name):
+    import duckdb
+
+    from fieldglass.llm.queries import ORACLES, QUERIES
+
+    folder, c = "/root/testdata/sf0.001", duckdb.connect()
+    for x in ("documents", "conversations"):
+        c.sql(f"create view {x} as select * from '{folder}/{x}.parquet'")
+    got, want = QUERIES[name](spark, folder), c.sql(ORACLES[name])
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+def test_query_of_neighbours_finds_nine_tenths(spark):
+    from fieldglass.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got, want = found(QUERIES["op13_kmeans_tree"](spark, folder).collect()), kmeans_tree.brute_force(rows, lambda i: i % 20 == 0)
+    assert got.keys() == want.keys() and all(len(x) == 20 for x in got.values())
+    assert sum(len({i for _, i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) / (20 * len(want)) >= 0.9
