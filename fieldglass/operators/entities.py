@@ -104,7 +104,12 @@ def route(query: Column, entity: Column) -> Column:
 
 def retriever(query: Column, year: Column, player: Column) -> Column:
     """Which table answers: standings, pitching, profile, batting or none."""
-    i, s = intent(query), F.coalesce(stat_type(query), F.lit(""))
+    return retriever_of(intent(query), stat_type(query), year, player)
+
+
+def retriever_of(i: Column, stat: Column, year: Column, player: Column) -> Column:
+    """The same, from the intent and the kind of figure."""
+    s = F.coalesce(stat, F.lit(""))
     known = player.isNotNull() & i.isin("STAT_QUERY", "ENTITY_LOOKUP", "MIXED_QUERY")
     return F.when((s == "rank") & year.isNotNull(), "standings").when(known & s.isin(PITCHING_STATS), "pitching").when(known & (i == "ENTITY_LOOKUP") & (s == ""), "profile").when(known, "batting").otherwise("none")
 

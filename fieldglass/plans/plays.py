@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import play_text as text
 from ..functions import rates
 from ..operators import plays
-from ..registry import Tables, query
+from ..registry import ORACLES, Tables, query
 
 TEXTS = [
     "양의지 : 좌중간 1루타", "김 : 우익수 뒤 홈런 (홈런거리:120M)", "이 : 3루타", "박 : 중견수 앞 2루타 1점 득점", "최 : 내야안타", "정 : 삼진 아웃", "강 : 볼넷", "조 : 고의4구", "윤 : 몸에 맞는 볼",
@@ -340,9 +340,19 @@ def w20(t: Tables):
     return plays.at_bats(events(t)).select("game_id", "event_seq", "at_bat")
 
 
-@query("w21_pitch_counts")
+_W21 = (
+    f"WITH {EV}, ab AS (" + ORACLES["w20_at_bats"] + f"), p AS (SELECT e.game_id, e.event_seq, at_bat, coalesce({_PITCH}, '') AS kind, coalesce(balls, 0)::INT AS b, coalesce(strikes, 0)::INT AS s FROM e JOIN ab USING (game_id, event_seq) WHERE at_bat IS NOT NULL), "
+    "l AS (SELECT game_id, at_bat, list({'seq': event_seq, 'kind': kind, 'b': b, 's': s, 'out': []::STRUCT(seq BIGINT, b INT, s INT)[]} ORDER BY event_seq) AS l FROM p GROUP BY ALL), "
+    "f AS (SELECT game_id, at_bat, list_reduce([{'seq': 0::BIGINT, 'kind': '', 'b': 0, 's': 0, 'out': []::STRUCT(seq BIGINT, b INT, s INT)[]}] || l, lambda a, x: {'seq': x.seq, 'kind': '', "
+    "'b': CASE WHEN x.kind IN ('볼', '폭투') THEN least(4, greatest(a.b, x.b) + 1) ELSE greatest(a.b, x.b) END, 's': CASE WHEN x.kind IN ('스트라이크', '헛스윙') THEN least(3, greatest(a.s, x.s) + 1) WHEN x.kind = '파울' THEN least(2, greatest(a.s, x.s) + 1) ELSE greatest(a.s, x.s) END, "
+    "'out': list_append(a.out, {'seq': x.seq, 'b': CASE WHEN x.kind IN ('볼', '폭투') THEN least(4, greatest(a.b, x.b) + 1) ELSE greatest(a.b, x.b) END, 's': CASE WHEN x.kind IN ('스트라이크', '헛스윙') THEN least(3, greatest(a.s, x.s) + 1) WHEN x.kind = '파울' THEN least(2, greatest(a.s, x.s) + 1) ELSE greatest(a.s, x.s) END})}).out AS out FROM l) "
+    "SELECT game_id, at_bat, o.seq AS event_seq, o.b AS balls, o.s AS strikes FROM (SELECT game_id, at_bat, unnest(out) AS o FROM f)"
+)
+
+
+@query("w21_pitch_counts", _W21)
 def w21(t: Tables):
-    """Balls and strikes within each at-bat; the fold has no SQL and is tested against plain Python."""
+    """Balls and strikes within each at-bat, by a fold in the order of events."""
     return plays.pitch_counts(plays.at_bats(events(t)))
 
 

@@ -76,6 +76,23 @@ def j07(t: Tables):
     return t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
+@query(
+    "j07_not_in_with_gaps",
+    "WITH s AS (SELECT DISTINCT CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_custkey END AS k FROM orders WHERE o_orderkey % 4 = 0) SELECT c_custkey, 'known' AS way FROM customer WHERE c_custkey NOT IN (SELECT k FROM s WHERE k IS NOT NULL) UNION ALL SELECT c_custkey, 'strict' FROM customer WHERE c_custkey NOT IN (SELECT k FROM s) UNION ALL SELECT c_custkey, 'strict few' FROM customer WHERE c_custkey NOT IN (SELECT k FROM s WHERE k % 5 > 0)",
+)
+def j07_gaps(t: Tables):
+    """NOT IN by its three-valued rule: one NULL in the list and nothing is known not to be in it; without NULLs the keys that are not."""
+    listed = t.orders.where("o_orderkey % 4 = 0").select(F.when(F.col("o_orderkey") % 11 > 0, F.col("o_custkey")).alias("k")).distinct()
+    own = t.customer.select("c_custkey")
+
+    def not_in(some, way):
+        whole = some.agg((F.count_if(F.col("k").isNull()) == 0).alias("known"))  # one row
+        left = own.join(some.where("k is not null"), F.col("c_custkey") == F.col("k"), "left_anti")
+        return left.crossJoin(F.broadcast(whole)).where("known").select("c_custkey", F.lit(way).alias("way"))
+
+    return not_in(listed.where("k is not null"), "known").unionByName(not_in(listed, "strict")).unionByName(not_in(listed.where("k % 5 > 0"), "strict few"))
+
+
 @query("j09_derived_join", "SELECT s_nationkey, count(*) AS n_pairs FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1")
 def j09(t: Tables):
     pairs = t.lineitem.select("l_orderkey", "l_suppkey").dropDuplicates()

@@ -6,10 +6,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import records
-from ..operators import entities, postings, retrieval, vectors
+from ..operators import entities, postings, retrieval, season, standings, vectors
 from ..operators.stored import built_once, state_of
-from ..registry import Tables, query
-from .core import _HEAD, keyword_index
+from ..registry import ORACLES, Tables, query
+from .core import _HEAD, _ROLES, _games, keyword_index
+from .league import _SEASON_BAT, _SEASON_PIT, BAT, PIT, PRATES, RATES, bat, pit
 from .plays import ANY, MATCH
 
 QUERIES = [
@@ -56,6 +57,44 @@ def k07(t: Tables):
     return x.select("event_id", "which", F.when(F.col("which") == "standings", F.col("n")).otherwise(F.col("v")).alias("v"))
 
 
+_YEARED = "CASE WHEN event_id % 9 > 0 THEN (1992 + event_id % 7)::VARCHAR || '년 ' ELSE '' END"
+_BATTING_METRICS = ("avg", "obp", "slg", "ops", "home_runs", "hits", "rbi", "stolen_bases")
+_PITCHING_METRICS = {"era": "era", "wins": "wins", "saves": "saves", "holds": "holds", "innings_pitched": "innings_outs"}
+_PICK = lambda names: "CASE stat " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in names) + " END"
+
+
+@query(
+    "k07_season_answers",
+    f"WITH q AS (SELECT event_id, {_YEARED} || {_TEXT} AS s, lower({_YEARED} || {_TEXT}) AS l FROM events), {_ROUTED}, w AS (SELECT *, {_WHICH} AS which, 9990 + event_id % 150 AS player FROM p WHERE {_WHICH} <> 'none'), {BAT}, {PIT}, "
+    f"bs AS (SELECT *, {RATES} FROM ({_SEASON_BAT})), ps AS (SELECT *, {PRATES} FROM ({_SEASON_PIT})), "
+    f"b AS (SELECT event_id, which, 1 AS place, player_id::VARCHAR AS subject, coalesce({_PICK([(m, m) for m in _BATTING_METRICS])}, ops) AS value, games::DOUBLE AS support FROM w JOIN bs ON player_id = player AND season = y WHERE which = 'batting'), "
+    f"t AS (SELECT event_id, which, 1 AS place, player_id::VARCHAR AS subject, coalesce({_PICK(_PITCHING_METRICS.items())}, era) AS value, strikeouts::DOUBLE AS support FROM w JOIN ps ON player_id = player AND season = y WHERE which = 'pitching'), "
+    "d AS (SELECT s_suppkey + 9990 AS player, s_nationkey FROM supplier), f AS (SELECT event_id, which, 1 AS place, player::VARCHAR AS subject, s_nationkey::DOUBLE AS value, NULL::DOUBLE AS support FROM w JOIN d USING (player) WHERE which = 'profile'), "
+    f"z AS ({ORACLES['w05_standings']}), last AS (SELECT year(date) AS yr, max(date) AS date FROM z GROUP BY 1), o AS (SELECT event_id, which, rank::INT AS place, team::VARCHAR AS subject, win_pct AS value, wins::DOUBLE AS support FROM w JOIN last ON yr = y JOIN z USING (date) WHERE which = 'standings' AND rank <= 5) "
+    "SELECT * FROM b UNION ALL SELECT * FROM t UNION ALL SELECT * FROM f UNION ALL SELECT * FROM o",
+)
+def k07_seasons(t: Tables):
+    """Each question is answered from the season's batting or pitching, the last standings of its year or the profile: the metric asked for and a figure beside it."""
+    year = F.expr("CASE WHEN event_id % 9 > 0 THEN concat(1992 + event_id % 7, '년 ') ELSE '' END")
+    asked, s = t.events.select("event_id", F.concat(year, F.expr(_TEXT)).alias("s")), F.col("s")
+    said = asked.select("event_id", entities.year_of(s).alias("y"), entities.stat_type(s).alias("stat"), entities.intent(s).alias("intent"))
+    said = said.repartition("event_id")  # a few short columns; without it each branch works them out of the text again
+    player = F.when(F.col("event_id") % 3 > 0, 9990 + F.col("event_id") % 150)
+    asked = said.select("event_id", "y", "stat", player.alias("player"), entities.retriever_of(F.col("intent"), F.col("stat"), F.col("y"), player).alias("which"))
+    pick = lambda names, default: F.coalesce(*[F.when(F.col("stat") == k, F.col(v).cast("double")) for k, v in names], F.col(default).cast("double"))
+    by = lambda which, table: asked.where(F.col("which") == which).join(table, (F.col("player") == F.col("player_id")) & (F.col("y") == F.col("season")))
+    answer = lambda df, place, subject, value, support: df.select("event_id", "which", place.cast("int").alias("place"), subject.cast("string").alias("subject"), value.alias("value"), support.cast("double").alias("support"))
+    one = F.lit(1)
+    batting = answer(by("batting", season.batting(bat(t), ["season", "player_id"])), one, F.col("player_id"), pick([(m, m) for m in _BATTING_METRICS], "ops"), F.col("games"))
+    pitching = answer(by("pitching", season.pitching(pit(t), ["season", "player_id"])), one, F.col("player_id"), pick(_PITCHING_METRICS.items(), "era"), F.col("strikeouts"))
+    profiles = t.supplier.select((F.col("s_suppkey") + 9990).alias("player"), "s_nationkey")
+    profile = answer(asked.where("which = 'profile'").join(profiles, "player"), one, F.col("player"), F.col("s_nationkey").cast("double"), F.lit(None))
+    table = standings.table(_games(t), _ROLES)
+    latest = table.withColumn("yr", F.year("date")).withColumn("at", F.max("date").over(W.partitionBy("yr"))).where("date = at and rank <= 5")
+    places = answer(asked.where("which = 'standings'").join(latest, F.col("y") == F.col("yr")), F.col("rank"), F.col("team"), F.col("win_pct"), F.col("wins"))
+    return batting.unionByName(pitching).unionByName(profile).unionByName(places)
+
+
 @query("k10_routing_accuracy", f"WITH {_QRY}, {_ROUTED} SELECT count(*) AS n, count(*) FILTER (intent = CASE event_id % 3 WHEN 0 THEN 'STAT_QUERY' WHEN 1 THEN 'MIXED_QUERY' ELSE 'GAME_QUERY' END) AS intent_right, count(*) FILTER (route = CASE event_id % 2 WHEN 0 THEN 'STRUCTURED' ELSE 'DOCUMENT' END) AS route_right FROM p")
 def k10(t: Tables):
     """How often intent and route are as expected."""

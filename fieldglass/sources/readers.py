@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -123,15 +124,44 @@ def html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
     return found.select(key, "table", F.posexplode("_t").alias("row", "cells"))
 
 
+# Folders of rule texts and the categories they stand for.
+CATEGORIES = {
+    "baseball_rules": "game_rules",
+    "glossary": "glossary",
+    "bylaws": "bylaws",
+    "league_regulations": "league_regulations",
+    "player_regulations": "player_regulations",
+    "scoring_rules": "scoring_rules",
+    "disciplinary_regulations": "disciplinary_regulations",
+    "supplementary_regulations": "supplementary_regulations",
+    "kbo_knowledge": "kbo_knowledge",
+    "kbo_rulebook": "rulebook",
+}
+
+
 def markdown_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, category, title, content) of every .md file below ``folder``.
+    """(path, category, subcategory, title, content) of every .md file below ``folder``.
 
-    The category is the folder a file lies in, the title its first heading, else its name.
+    Of the folders between ``folder`` and the file that are known (CATEGORIES), the
+    first one other than the rulebook's gives the category and the last one after it
+    the subcategory; without one the category is ``rulebook``.  The title is the first
+    line that is not blank, if it is a heading, else the file's name in title case.
+    Files that are empty or not UTF-8 are left out.
     """
-    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md").select(F.input_file_name().alias("path"), F.col("value").alias("content"))
-    heading = F.regexp_extract("content", r"(?m)^#{1,6}[ \t]+(.+?)[ \t]*$", 1)
-    name = F.regexp_extract("path", r"([^/]+)\.md$", 1)
-    return files.select("path", F.element_at(F.split("path", "/"), -2).alias("category"), F.when(heading != "", heading).otherwise(name).alias("title"), "content")
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").load(folder)
+    files = read.select("path", F.try_validate_utf8(F.col("content").cast("string")).alias("content")).where("content is not null")
+    first = F.regexp_extract("content", r"^\s*([^\n]*)", 1)
+    heading = F.trim(F.regexp_replace(first, "^#+", ""))
+    name = F.initcap(F.replace(F.regexp_extract("path", r"([^/]+)\.md$", 1), F.lit("_"), F.lit(" ")))
+    root = folder.split(":", 1)[-1].rstrip("/").rsplit("/", 1)[-1]
+    below = F.slice(F.split(F.regexp_extract("path", rf"(?s)^.*?/{re.escape(root)}/(.*)$", 1), "/"), 1, 99)
+    names = F.create_map(*[F.lit(x) for pair in CATEGORIES.items() for x in pair])
+    known = F.filter(F.transform(F.slice(below, 1, F.greatest(F.size(below) - 1, F.lit(0))), lambda p: F.try_element_at(names, p)), lambda c: c.isNotNull())
+    # the rulebook's own name never ends the search for a category
+    start = F.array_position(F.transform(known, lambda c: c != "rulebook"), True)
+    category = F.when(start > 0, F.try_element_at(known, start.cast("int"))).otherwise("rulebook")
+    rest = F.when(start > 0, F.slice(known, start.cast("int") + 1, 99)).otherwise(F.array().cast("array<string>"))
+    return files.select("path", category.alias("category"), F.try_element_at(rest, F.lit(-1)).alias("subcategory"), F.when(first.startswith("#"), heading).otherwise(name).alias("title"), "content")
 
 
 def since(df: DataFrame, changed: str, mark) -> DataFrame:

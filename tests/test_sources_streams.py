@@ -31,10 +31,12 @@ def test_html_and_markdown(spark, tmp_path):
     df = spark.createDataFrame([(1, page), (2, None), (3, "")], "k int, html string")
     assert got(sources.html_tables(df, "k", "html"), "row") == [(1, 0, 0, ["n", "r"]), (1, 0, 1, ["1", "2 3"])]
     assert [r[2] for r in got(sources.html_text(df, "k", "html", "p"), "n")] == ["one", "two"]
-    (tmp_path / "rules").mkdir()
-    (tmp_path / "rules" / "a.md").write_text("text\n# Title here\nmore")
-    (tmp_path / "rules" / "b.md").write_text("none")
-    assert [(r.category, r.title) for r in sources.markdown_documents(spark, str(tmp_path)).orderBy("path").collect()] == [("rules", "Title here"), ("rules", "b")]
+    texts = {"a_first file.md": "\n \n## Title here\nmore", "bylaws/b.md": "text\n# not first", "kbo_rulebook/baseball_rules/x/scoring_rules/glossary/c.md": "#C#", "other/d.md": " ", "glossary/kbo_rulebook/e.md": "# E"}
+    for name, text in texts.items():
+        (tmp_path / "docs" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "docs" / name).write_text(text)
+    got_docs = {r.path.rsplit("/", 1)[-1][:1]: (r.category, r.subcategory, r.title) for r in sources.markdown_documents(spark, str(tmp_path / "docs")).collect()}
+    assert got_docs == {"a": ("rulebook", None, "Title here"), "b": ("bylaws", None, "B"), "c": ("game_rules", "glossary", "C#"), "d": ("rulebook", None, "D"), "e": ("glossary", "rulebook", "E")}
 
 
 def test_keyed_writes(spark, tmp_path):
