@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_BUILT: dict[tuple, dict[str, str]] = {}
+_BUILT: dict[tuple, tuple[dict[str, str], dict[str, DataFrame]]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -58,7 +58,7 @@ def built_once(spark: SparkSession, name: str, inputs: list[str], build: Callabl
             writer = frame.write
             (writer.partitionBy(*by) if by else writer).parquet(paths[table])
         for old in [k for k in _BUILT if k[:2] == key[:2] and [x[0] for x in k[2:]] == [x[0] for x in key[2:]]]:
-            for path in _BUILT.pop(old).values():
+            for path in _BUILT.pop(old)[0].values():
                 _remove(spark, path)
-        _BUILT[key] = paths
-    return {table: spark.read.parquet(path) for table, path in _BUILT[key].items()}
+        _BUILT[key] = paths, {table: spark.read.parquet(path) for table, path in paths.items()}  # files are listed once
+    return dict(_BUILT[key][1])
