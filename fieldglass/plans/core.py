@@ -397,9 +397,8 @@ _BM25 = f"""d AS (SELECT doc_id AS key, {_HEAD} AS title, coalesce(text, '') AS
     f"""WITH {_BM25} SELECT key, round(CASE WHEN tf1 > 0 THEN (s0 + greatest(0.0, ln((n - d1 + 0.5) / (d1 + 0.5) + 1)) * (tf1 * 2.5) / (tf1 + 1.5 * (0.25 + 0.75 * len / a))) * CASE WHEN contains(head, 'token') THEN 1.2 ELSE 1 END ELSE s0 END, 6) AS score FROM x ORDER BY score DESC, key LIMIT 20""",
 )
 def k01(t: Tables):
-    """From the keyword index; the SQL reads the texts."""
-    asked = t.spark.createDataFrame([(0, ["license", "token"])], "query_id int, words array<string>")
-    return postings.search(keyword_index(t), asked, 20).select("key", "score").orderBy(F.desc("score"), "key")
+    """One question is answered by a scan; many are by the index, see ``keyword_index``."""
+    return retrieval.bm25(t.documents.withColumn("title", F.expr(_HEAD)), "doc_id", "text", "title", ["license", "token"], 20)
 
 
 def keyword_index(t: Tables):
