@@ -199,11 +199,23 @@ def _joined(parts: DataFrame, pairs: DataFrame, docs: DataFrame, percent: int, s
     return out, True
 
 
-def _more_stars(members: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
+def _split(members: DataFrame, parts: DataFrame, space: Workspace) -> DataFrame:
+    """(key, rep, root): the members of buckets that hold several components; written.
+
+    The join with the components is evaluated once, into a table that goes again.
+    Components only grow together, so a bucket that lies in one never comes back.
+    """
+    at = space.write(members.select("key", "rep").join(parts.select(F.col("node").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root")), "rooted")
+    keys = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    out = space.write(at.join(keys, "key", "left_semi"), "split")
+    space.drop(at)
+    return out
+
+
+def _more_stars(split: DataFrame, turn: int) -> DataFrame:
     """In each bucket that holds several components: its members with one of them drawn by hash, across components."""
-    at = members.select("key", "rep").join(parts.select(F.col("node").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-    hubs = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by(F.struct("rep", "root"), F.xxhash64("key", "rep", F.lit(turn))).alias("h")).where("lo <> hi")
-    out = at.join(hubs.select("key", F.col("h.rep").alias("hub"), F.col("h.root").alias("hub_root")), "key").where("root <> hub_root")
+    hubs = split.groupBy("key").agg(F.min_by(F.struct("rep", "root"), F.xxhash64("key", "rep", F.lit(turn))).alias("h"))
+    out = split.join(hubs.select("key", F.col("h.rep").alias("hub"), F.col("h.root").alias("hub_root")), "key").where("root <> hub_root")
     return out.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
 
 
@@ -221,18 +233,17 @@ def _short_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return some.select("doc_id", "text").mapInArrow(run, "rep long, short binary").groupBy("rep").agg(F.first("short").alias("short"))
 
 
-def _crossing(members: DataFrame, reps: DataFrame, parts: DataFrame, docs: DataFrame, percent: int, size: int, space: Workspace) -> DataFrame:
-    """Pairs of members of one bucket that lie in different components and may be linked; written.
+def _crossing(split: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, size: int, space: Workspace) -> DataFrame:
+    """Pairs of members of one of the ``split`` buckets that lie in different components and may be linked; written.
 
     Sizes, signatures and then the low bits of all shingle hashes are compared in
     the task, which lets through every link and next to nothing else; only such
     pairs become rows.
     """
     floor = _estimate_floor(percent / 100)
-    at = members.join(parts.select(F.col("node").alias("rep"), "root"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
-    split = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("key", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks"))
+    blocks = split.groupBy("key").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    unresolved = space.write(at.join(split, "key").withColumn("block", own), "unresolved")
+    unresolved = space.write(split.join(blocks, "key").withColumn("block", own), "unresolved")
     ids = space.write(unresolved.select("rep").distinct(), "ids")
     short = _short_sets(docs, ids, size)
     rows = unresolved.join(reps.select("rep", "n", "signature"), "rep").join(short, "rep")
@@ -293,21 +304,25 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     links = _confirmed(tried[0], own, percent, size, space)
     parts = components(links, space)
     space.drop(links)
+    split = _split(members, parts, space)
+    space.drop(members)
     for turn in range(_TURNS):
         before = tried[0]
         for x in tried[1:]:
             before = before.unionByName(x)
-        new = space.write(_passing(_more_stars(members, parts, turn).join(before, ["a", "b"], "left_anti"), reps, percent), "stars")
+        new = space.write(_passing(_more_stars(split, turn).join(before, ["a", "b"], "left_anti"), reps, percent), "stars")
         tried.append(new)
         parts, grown = _joined(parts, new, own, percent, size, space)
         if not grown:
             break
-    left = pairs = _crossing(members.select("key", "rep"), reps, parts, own, percent, size, space)
+        last, split = split, _split(split, parts, space)
+        space.drop(last)
+    left = pairs = _crossing(split, reps, own, percent, size, space)
     for x in tried:
         left = left.join(x, ["a", "b"], "left_anti")
     crossing = space.write(left, "crossing")
     parts, _ = _joined(parts, crossing, own, percent, size, space)
-    space.drop(members, pairs, crossing, *tried)
+    space.drop(split, pairs, crossing, *tried)
     roots = reps.select("set", "rep").join(parts.select(F.col("node").alias("rep"), "root"), "rep", "left").select(F.col("set").alias("_set"), F.coalesce("root", "rep").alias("_root"))
     out = feats.join(roots, F.when(F.col("n") > 0, F.col("set")) == F.col("_set"), "left")
     part = F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id"))

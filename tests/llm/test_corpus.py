@@ -67,6 +67,26 @@ def test_near(docs):
     assert near_dedup.near_duplicates(empty(docs)).count() == 0
 
 
+def test_members_of_buckets_meet_their_components_once(docs, monkeypatch):
+    from fieldglass.llm.common import Workspace
+
+    joins, write = [], Workspace.write
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(Workspace, "write", lambda self, df, tag: joins.append((tag, plan(df).count("Join LeftOuter"))) or write(self, df, tag))
+    near_dedup.near_duplicates(docs)
+    assert max(n for _, n in joins) == 1 and {t for t, n in joins if n} == {"rooted"}
+
+
+def test_settled_buckets_go(spark):
+    from fieldglass.llm.common import Workspace
+
+    members = spark.createDataFrame([(1, 0, 1), (1, 0, 2), (2, 0, 1), (2, 0, 2), (2, 0, 3), (3, 0, 4), (3, 0, 5)], "key long, hub long, rep long")
+    parts = spark.createDataFrame([(1, 1), (2, 1)], "node long, root long")
+    left = near_dedup._split(members, parts, Workspace(spark))
+    assert sorted(map(tuple, left.collect())) == [(2, 1, 1), (2, 2, 1), (2, 3, 3), (3, 4, 4), (3, 5, 5)]
+
+
+
 def test_chain_of_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 103), (103, 101)], "a long, b long")
     got = {r.node: r.root for r in near_dedup.components(links).collect()}
