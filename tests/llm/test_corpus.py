@@ -196,6 +196,25 @@ def test_encoder_is_the_library(name):
         assert np.frombuffer(enc.ids([t])[0], "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_letters_and_signs_by_blanks(name):
+    enc, library = tokens.Encoder(tokenizer_file(name), 300), unaltered(tokenizer_file(name))
+    letters = [chr(c) for c in range(33, 0x260) if chr(c).isalpha()]
+    words = letters + [f"{a}{b}x" for a, b in zip(letters, letters[7:])] + [f"Ab{a}{x}" for a in letters[::9] for x in tokens._SIGNS + "'"]
+    words += ["don't", "it's.", "a's", "x,'s", "e\u0301t\u00e9", "\u0130x", "\u212bb", "\u212a", "\u03a3\u03a3.", "ab12,", "((", "=\u0338", "a=\u0338", "\u00aa\u00ba", "x\u00ad", "a\u0378b", "_a_", "a__"]
+    r = random.Random(2)
+    texts = ["\n".join(" ".join(r.choices(words, k=9)) for _ in range(6)) for _ in range(150)] + ["\n".join(words), " ".join(words), "one", None, "", "two\tthree", "four  five", "six\u00a0seven"]
+    for _ in range(2):
+        for i in range(0, len(texts), 20):
+            part = texts[i : i + 20]
+            assert [np.frombuffer(x, "<u4").tolist() for x in enc.ids(part)] == [library.encode(t or "", add_special_tokens=False).ids for t in part]
+    enc = tokens.Encoder(tokenizer_file(name))
+    sent, whole = [], enc._whole
+    enc._whole = lambda texts: sent.extend(texts) or whole(texts)
+    enc.ids(["so ganteru gantera, \u00e9gantero.*** ganteru,"])
+    assert enc.fast and not any("ganter" in x for x in sent)
+
+
 def test_another_tokenizer_encodes_whole_texts(tmp_path):
     from tokenizers import pre_tokenizers
 
