@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import rates
@@ -90,10 +91,10 @@ def outs_of(column: Column, extra: Column, text: Column) -> Column:
 
 
 def regression_pack(tables: dict[str, DataFrame], checks: list[tuple[str, str, str, str]], samples: int = 5) -> DataFrame:
-    """One row a check: check_id, status, violations and up to ``samples`` keys in order.
+    """One row a check: check_id, status, violations and the ``samples`` least different keys in order.
 
     A check is (id, table, key, SQL of what is wrong).  The checks of a table are
-    counted in one scan; samples are kept bounded while they are gathered.
+    counted in one scan; of the different keys, each task hands on its least only.
     """
     out = None
     for name, df in tables.items():
@@ -103,7 +104,9 @@ def regression_pack(tables: dict[str, DataFrame], checks: list[tuple[str, str, s
         wrong = F.array_compact(F.array(*[F.when(F.expr(sql), F.struct(F.lit(i).alias("check_id"), F.col(key).cast("string").alias("key"))) for i, _, key, sql in own]))
         bad = df.select(F.explode(wrong).alias("x")).select("x.*")
         counts = bad.groupBy("check_id").agg(F.count("*").alias("violations"))
-        first = bad.groupBy("check_id", F.pmod(F.xxhash64("key"), F.lit(64)).alias("part")).agg(F.min("key").alias("key")).groupBy("check_id").agg(F.array_join(F.slice(F.array_sort(F.collect_list("key")), 1, samples), ",").alias("samples"))
+        place = F.row_number().over(W.partitionBy("check_id").orderBy("key"))
+        least = bad.where("key is not null").distinct().withColumn("place", place).where(F.col("place") <= samples)
+        first = least.groupBy("check_id").agg(F.array_join(F.array_sort(F.collect_list("key")), ",").alias("samples"))
         names = df.sparkSession.createDataFrame([(c[0],) for c in own], "check_id string")
         mine = names.join(counts, "check_id", "left").join(first, "check_id", "left").select("check_id", F.coalesce("violations", F.lit(0)).alias("violations"), F.coalesce("samples", F.lit("")).alias("samples"))
         out = mine if out is None else out.unionByName(mine)
