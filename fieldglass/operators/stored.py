@@ -24,6 +24,13 @@ def shared_folder(spark: SparkSession) -> str:
     return path
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written and read again: no condition on it is turned into one on what it is made of, and nothing of that runs twice."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records
 from ..operators import entities, postings, retrieval, season, standings, vectors
-from ..operators.stored import built_once, state_of
+from ..operators.stored import built_once, settled, state_of
 from ..registry import ORACLES, Tables, query
 from .core import _HEAD, _ROLES, _games, keyword_index
 from .league import _SEASON_BAT, _SEASON_PIT, BAT, PIT, PRATES, RATES, bat, pit
@@ -78,7 +78,7 @@ def k07_seasons(t: Tables):
     year = F.expr("CASE WHEN event_id % 9 > 0 THEN concat(1992 + event_id % 7, '년 ') ELSE '' END")
     asked, s = t.events.select("event_id", F.concat(year, F.expr(_TEXT)).alias("s")), F.col("s")
     said = asked.select("event_id", entities.year_of(s).alias("y"), entities.stat_type(s).alias("stat"), entities.intent(s).alias("intent"))
-    said = said.repartition("event_id")  # a few short columns; without it each branch works them out of the text again
+    said = settled(said)  # a few short columns; else each branch works them out of the text again, in a filter of 400,000 characters
     player = F.when(F.col("event_id") % 3 > 0, 9990 + F.col("event_id") % 150)
     asked = said.select("event_id", "y", "stat", player.alias("player"), entities.retriever_of(F.col("intent"), F.col("stat"), F.col("y"), player).alias("which"))
     pick = lambda names, default: F.coalesce(*[F.when(F.col("stat") == k, F.col(v).cast("double")) for k, v in names], F.col(default).cast("double"))

@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from fieldglass import catalog
 from fieldglass.operators import checks
 
+FOLDER = "/root/testdata/sf0.001"
+
 
 def test_samples_are_the_least_keys(spark):
     rules = [(f"c{i}", "t", "id", f"id % 30 = {i}") for i in range(30)]
@@ -12,3 +15,9 @@ def test_samples_are_the_least_keys(spark):
     got = {r.check_id: (r.violations, r.samples) for r in checks.regression_pack({"t": rows}, rules).collect()}
     own = {f"c{i}": [k for k in range(i, 3000, 30) if k % 100] for i in range(30)}
     assert got == {c: (2 * len(k), ",".join(sorted(map(str, k))[:5])) for c, k in own.items()}
+
+
+def test_season_answers_have_a_small_plan(spark):
+    plan = catalog.queries()["k07_season_answers"](spark, FOLDER)._jdf.queryExecution().optimizedPlan()
+    longest = lambda node: max([len(x.toString()) for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(node.expressions())] + [longest(c) for c in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(node.children())] + [0])
+    assert longest(plan) < 20_000
