@@ -13,8 +13,12 @@ where its leaves have too few candidates for a full answer.
 
 Vectors that are equal are one row of the index with their least k + 1 ids, gathered
 batch by batch before anything is shuffled, and queries that are equal are asked once;
-so copies, however many, make no bin large.  A leaf with more than ``block`` vectors
-or queries is dealt out in blocks of both, each pair of blocks a task's work.
+so copies, however many, make no bin large.  Leaves that follow one another stand
+together as a shelf, and a query goes to a shelf once, with a bit for each leaf that it
+visits there; a shelf's queries are dealt out in blocks, and so are the vectors of a
+leaf too large for one shelf, each pair of blocks a task's work.  So what a query moves
+and leaves behind follows the shelves and not its visits, of which vectors without
+clusters take most leaves.
 """
 
 from __future__ import annotations
@@ -30,6 +34,10 @@ from pyspark.sql import functions as F
 from .common import Workspace, partitions, ship
 
 _SAMPLE_BYTES = 64 << 20
+#: Vectors of a shelf, as doubles.
+_SHELF_BYTES = 32 << 20
+#: Queries whose ways, or products with a shelf, are held at a time.
+_AT_ONCE = 64
 
 
 def matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,13 +130,16 @@ def _table(column: pa.Array, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(data.to_pylist()), kind).astype(np.float64).reshape(len(data), -1)
 
 
-def _best(scores: np.ndarray, rows: np.ndarray, query: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _best(scores: np.ndarray, rows: np.ndarray, query: np.ndarray, first: np.ndarray, k: int, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(row numbers, exact scores) of the k best rows for a query, ties to the smaller first id.
 
+    Of rows that are not ``seen`` the score must be -inf; they are left out.
+
     The product of matrices only chooses some more than k; what counts is each
     row's own sum of products, which is the same wherever the row lies.
     """
     some = np.flatnonzero(scores >= np.partition(scores, len(scores) - k - 11)[len(scores) - k - 11]) if len(scores) > k + 11 else np.arange(len(scores))
+    some = some if seen is None else some[seen[some]]
     exact = (rows[some] * query).sum(1)
     order = np.lexsort((first[some], -exact))[:k]
     return some[order], exact[order]
@@ -209,45 +220,68 @@ def nearest(vectors: DataFrame, asked: Column, key: str = "vec_id", vector: str
 
     placed = space.write(classes.mapInArrow(put, "leaf int, d binary, v binary, ids array<long>"), "placed")
     space.drop(classes)
-    held = {r.leaf: r.n for r in placed.groupBy("leaf").agg(F.sum(F.size("ids")).alias("n")).collect()}  # a line a leaf, 4,096 at most
+    laid = placed.groupBy("leaf").agg(F.sum(F.size("ids")).alias("n"), F.count("*").alias("rows")).collect()  # a line a leaf, 4,096 at most
+    held = {r.leaf: r.n for r in laid}
+    room = max(1, min(16 * block, max(block, total // 16), _SHELF_BYTES // (8 * dim)))
+    shelves = _shelves({r.leaf: r.rows for r in laid}, room)
+    stands = {leaf: (shelf, bit) for shelf, (own, _) in enumerate(shelves) for bit, leaf in enumerate(own)}
     visits = _calibrated(tree, placed, questions, asked_rows, kind, k, recall, asked_sample)
 
     def routes(batches):
+        """A row for each query and shelf that it visits, with the bits of its leaves there."""
         t = sent.value
         for b in batches:
-            leaf, who = [], []
-            scores = _table(b.column("v"), kind) @ t.centre.T if b.num_rows else []
-            for i, s in enumerate(scores):
-                there = 0
-                for n, x in enumerate(t.best_first(s.tolist())):
-                    if n >= visits and there > k:
-                        break
-                    there += held.get(x, 0)
-                    leaf.append(x)
-                    who.append(i)
-            at = pa.array(who, pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), b.column("d").take(at), b.column("v").take(at)], ["leaf", "d", "v"])
-
-    ways = space.write(questions.select("d", "v").mapInArrow(routes, "leaf int, d binary, v binary"), "visits")
-    blocks = lambda t, name: t.groupBy("leaf").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
-    cut = blocks(placed, "rows").join(blocks(ways, "asks"), "leaf")
+            for a in range(0, b.num_rows, _AT_ONCE):
+                d, v = (b.column(c).slice(a, _AT_ONCE) for c in ("d", "v"))
+                who, shelf, bits = [], [], []
+                for i, s in enumerate(_table(v, kind) @ t.centre.T):
+                    there, ways = 0, {}
+                    for n, x in enumerate(t.best_first(s.tolist())):
+                        if n >= visits and there > k:
+                            break
+                        there += held.get(x, 0)
+                        if x in stands:
+                            ways.setdefault(stands[x][0], []).append(stands[x][1])
+                    for at, own in ways.items():
+                        field = np.zeros(len(shelves[at][0]), bool)
+                        field[own] = True
+                        who.append(i)
+                        shelf.append(at)
+                        bits.append(np.packbits(field).tobytes())
+                at = pa.array(who, pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(shelf, pa.int32()), d.take(at), v.take(at), pa.array(bits, pa.binary())], ["shelf", "d", "v", "bits"])
+
+    ways = space.write(questions.select("d", "v").mapInArrow(routes, "shelf int, d binary, v binary, bits binary"), "visits")
+    asks = ways.groupBy("shelf").agg(F.ceil(F.count("*") / block).cast("int").alias("asks"))
+    cut = spark.createDataFrame([(leaf, shelf, bit, shelves[shelf][1]) for leaf, (shelf, bit) in stands.items()], "leaf int, shelf int, bit int, rows int").join(F.broadcast(asks), "shelf")
     place = lambda n: F.pmod(F.xxhash64("d", F.lit(7)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = placed.join(F.broadcast(cut), "leaf").select("leaf", place("rows").alias("i"), every("asks").alias("j"), "v", "ids")
-    right = ways.join(F.broadcast(cut), "leaf").select("leaf", every("rows").alias("i"), place("asks").alias("j"), "d", "v")
+    left = placed.join(F.broadcast(cut), "leaf").select("shelf", place("rows").alias("i"), every("asks").alias("j"), "bit", "v", "ids")
+    right = ways.join(F.broadcast(cut.where("bit = 0").drop("leaf", "bit")), "shelf").select("shelf", every("rows").alias("i"), place("asks").alias("j"), "d", "v", "bits")
 
     def compare(rows: pa.Table, asks: pa.Table) -> pa.Table:
-        out = []
+        out, order = [], np.zeros(0, int)
         if rows.num_rows and asks.num_rows:
+            rows = rows.take(pa.array(np.argsort(rows.column("bit").to_numpy(), kind="stable")))
             x, q, ids = _table(rows.column("v"), kind), _table(asks.column("v"), kind), rows.column("ids").to_pylist()
             first = np.array([i[0] for i in ids])
-            for a in range(0, len(q), 256):
-                for s, one in zip(q[a : a + 256] @ x.T, q[a : a + 256]):
-                    out.append(_expanded(ids, *_best(s, x, one, first, k + 1), k + 1))
-        d = asks.column("d") if out else asks.column("d").slice(0, 0)
+            bit, size = np.unique(rows.column("bit").to_numpy(), return_counts=True)
+            goes = np.unpackbits(np.frombuffer(b"".join(asks.column("bits").to_pylist()), np.uint8).reshape(len(q), -1), axis=1)[:, bit].astype(bool)
+            order = np.argsort(goes.argmax(1), kind="stable")  # neighbours mostly visit the same leaves
+            for a in range(0, len(q), _AT_ONCE):
+                some = order[a : a + _AT_ONCE]
+                used = goes[some].any(0)
+                own = np.flatnonzero(np.repeat(used, size))
+                mine, seen = (x if used.all() else x[own]), np.repeat(goes[some][:, used], size[used], axis=1)
+                s = q[some] @ mine.T
+                s[~seen] = -np.inf
+                for n, one in enumerate(q[some]):
+                    chosen, exact = _best(s[n], mine, one, first[own], k + 1, seen[n])
+                    out.append(_expanded(ids, own[chosen], exact, k + 1))
+        d = asks.column("d").take(pa.array(order))
         return pa.table({"d": d, "ids": pa.array([x for x, _ in out], pa.list_(pa.int64())), "scores": pa.array([x for _, x in out], pa.list_(pa.float64()))})
 
-    by = ("leaf", "i", "j")
+    by = ("shelf", "i", "j")
     found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(compare, "d binary, ids array<long>, scores array<double>")
 
     def best(batches):
@@ -268,6 +302,19 @@ def nearest(vectors: DataFrame, asked: Column, key: str = "vec_id", vector: str
     return each.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
 
 
+def _shelves(rows: dict[int, int], room: int) -> list[tuple[list[int], int]]:
+    """(leaves that follow one another with ``room`` vectors at most, 1), or (one larger leaf, how many blocks it needs)."""
+    out: list[tuple[list[int], int]] = []
+    free = 0
+    for leaf, n in sorted(rows.items()):
+        if n > free:
+            out.append(([], max(1, -(-n // room))))
+            free = room
+        out[-1][0].append(leaf)
+        free -= n
+    return out
+
+
 def _chunks(rows, names: list[str], kinds: list, size: int = 2000):
     while part := list(itertools.islice(rows, size)):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), kinds)], names)

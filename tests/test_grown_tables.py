@@ -1,8 +1,10 @@
 """What goes wrong only on tables larger than the smallest ones."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from fieldglass import catalog
+from fieldglass.llm import kmeans_tree
 from fieldglass.operators import checks
 
 FOLDER = "/root/testdata/sf0.001"
@@ -21,3 +23,27 @@ def test_season_answers_have_a_small_plan(spark):
     plan = catalog.queries()["k07_season_answers"](spark, FOLDER)._jdf.queryExecution().optimizedPlan()
     longest = lambda node: max([len(x.toString()) for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(node.expressions())] + [longest(c) for c in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(node.children())] + [0])
     assert longest(plan) < 20_000
+
+
+def test_a_query_goes_to_a_shelf_once(spark, monkeypatch):
+    x = np.random.default_rng(1).normal(size=(1200, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    counts, write = {}, kmeans_tree.Workspace.write
+
+    def counted(self, df, tag):
+        out = write(self, df, tag)
+        counts[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(kmeans_tree.Workspace, "write", counted)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got: dict = {}
+    for r in kmeans_tree.nearest(df, F.col("vec_id") % 3 == 0, recall=1.1, leaf_rows=10, block=100).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == kmeans_tree.brute_force(rows, lambda i: i % 3 == 0)
+    assert counts["visits"] <= 400 * 24  # every query visits some 120 leaves, on shelves of 100 vectors
+
+
+def test_shelves_hold_what_they_may():
+    rows = {0: 5, 1: 5, 2: 1, 4: 30, 5: 9, 6: 2}
+    assert kmeans_tree._shelves(rows, 10) == [([0, 1], 1), ([2], 1), ([4], 3), ([5], 1), ([6], 1)]
