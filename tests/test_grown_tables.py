@@ -1,11 +1,13 @@
 """What goes wrong only on tables larger than the smallest ones."""
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from fieldglass import catalog
 from fieldglass.llm import kmeans_tree
-from fieldglass.operators import checks
+from fieldglass.operators import checks, intervals
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -47,3 +49,37 @@ def test_a_query_goes_to_a_shelf_once(spark, monkeypatch):
 def test_shelves_hold_what_they_may():
     rows = {0: 5, 1: 5, 2: 1, 4: 30, 5: 9, 6: 2}
     assert kmeans_tree._shelves(rows, 10) == [([0, 1], 1), ([2], 1), ([4], 3), ([5], 1), ([6], 1)]
+
+
+def test_range_totals(spark):
+    r = random.Random(4)
+    rows = [(i, None if i % 9 == 0 else r.randrange(-40, 400), None if i % 13 == 0 else "ab"[i % 2]) for i in range(300)]
+    ranges = [(None if i % 10 == 0 else i, None if i % 8 == 0 else (a := r.randrange(-100, 450)), None if i % 7 == 0 else (a if i % 8 else 0) + r.randrange(-3, 200), None if i % 11 == 0 else "ab"[i % 2]) for i in range(120)]
+    left = spark.createDataFrame(rows, "id long, at long, k string")
+    right = spark.createDataFrame(ranges, "version long, first long, last long, k string")
+    holds = lambda x, a, b: x is not None and (a is None or x >= a) and (b is None or x <= b)
+    for keys in ([], ["k"]):
+        want = {}
+        for i, x, k in rows:
+            own = [v for v, a, b, c in ranges if holds(x, a, b) and (a is None or b is None or a <= b) and (not keys or (k is not None and k == c))]
+            if own:
+                known = [v for v in own if v is not None]
+                want[i] = (len(own), min(known), max(known), sum(known))
+        out = intervals.range_totals(left, "at", right if keys else right.drop("k"), "first", "last", "version", keys)
+        assert {x.id: (x.n, x.least, x.most, x.total) for x in out.collect()} == want and len(want) > 200
+    assert intervals.range_totals(left.where("false"), "at", right, "first", "last", "version", ["k"]).count() == 0
+
+
+def test_a_wide_range_of_places(spark):
+    left = spark.createDataFrame([(1, 0), (2, 1 << 40), (3, (1 << 40) - 5)], "id long, at long")
+    right = spark.createDataFrame([(7, None, None), (8, 3, None), (9, None, 1 << 39)], "version long, first long, last long")
+    want = {(1, 7), (1, 9), (2, 7), (2, 8), (3, 7), (3, 8)}
+    assert {(x.id, x.version) for x in intervals.range_join(left, "at", right, "first", "last").collect()} == want
+
+
+def test_versions_are_not_paired_with_orders(spark):
+    """A million rows in a thousand ranges each would be a thousand million pairs."""
+    rows = spark.range(1_000_000).select("id", (F.col("id") % 500).alias("at"))
+    ranges = spark.range(1000).select(F.col("id").alias("version"), F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("last"))
+    out = intervals.range_totals(rows, "at", ranges, "first", "last", "version")
+    assert tuple(out.agg(F.count("*"), F.min("n"), F.max("n"), F.max("least"), F.min("most"), F.min("total")).first()) == (1_000_000, 1000, 1000, 0, 999, 499_500)
