@@ -401,13 +401,14 @@ def k01(t: Tables):
     return retrieval.bm25(t.documents.withColumn("title", F.expr(_HEAD)), "doc_id", "text", "title", ["license", "token"], 20)
 
 
-def keyword_index(t: Tables):
-    """The keyword index of the documents, with what they may be filtered by; built at the first question."""
+def keyword_index(t: Tables, candidates: bool = False):
+    """The keyword index of the documents, with what they may be filtered by and, if asked for, the tables for candidates; built at the first question."""
     k = F.col("doc_id")
     status = F.when(k % 5 == 1, "STALE").when(k % 5 == 2, "INDEXED").when(k % 5 > 2, "ACTIVE")
     category = F.when(k % 4 == 0, "notice").when(k % 4 == 1, "press_release").when(k % 4 == 2, "split")
     docs = t.documents.select("doc_id", "text", F.expr(_HEAD).alias("title"), status.alias("index_status"), category.alias("category"), "lang", F.sha2("text", 256).alias("content_hash"))
-    return built_once(t.spark, "keywords", [f"{t.folder}/documents.parquet"], lambda: postings.build(docs, "doc_id", "text", "title", ["index_status", "category", "lang", "content_hash"]))
+    meta = ["index_status", "category", "lang", "content_hash"]
+    return built_once(t.spark, "candidates" if candidates else "keywords", [f"{t.folder}/documents.parquet"], lambda: postings.build(docs, "doc_id", "text", "title", meta, candidates))
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldglass import catalog
 from fieldglass.llm import kmeans_tree
-from fieldglass.operators import checks, intervals
+from fieldglass.operators import checks, intervals, postings
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -83,3 +83,30 @@ def test_versions_are_not_paired_with_orders(spark):
     ranges = spark.range(1000).select(F.col("id").alias("version"), F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("last"))
     out = intervals.range_totals(rows, "at", ranges, "first", "last", "version")
     assert tuple(out.agg(F.count("*"), F.min("n"), F.max("n"), F.max("least"), F.min("most"), F.min("total")).first()) == (1_000_000, 1000, 1000, 0, 999, 499_500)
+
+
+def test_no_row_for_question_term_and_document(spark, tmp_path):
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abc") for _ in range(r.randrange(1, 6)))
+    rows = [(i % 250, None if i % 9 == 0 else " ".join(word() for _ in range(r.randrange(30))), None if i % 4 == 0 else word()) for i in range(250)]
+    rows += [(1000 + i, "abc abc ca", "ab") for i in range(40)]  # equal scores: the first keys count
+    asked = [(i, [w if i % 3 else w.upper() for w in (word(), word(), "abc")[: r.randrange(4)]]) for i in range(120)] + [(500, [None, "b"]), (501, None), (502, ["", " ", "ab"]), (503, ["abc"])]
+    docs, path = spark.createDataFrame(rows, "id long, text string, title string").repartition(3), str(tmp_path / "i")
+    index = {}
+    for name, (frame, _) in postings.build(docs, "id", "text", "title").items():
+        frame.write.parquet(f"{path}/{name}")
+        index[name] = spark.read.parquet(f"{path}/{name}")
+    questions = spark.createDataFrame(asked, "query_id long, words array<string>")
+    found = lambda df: sorted(map(tuple, df.select("query_id", "rank", "key", "score").collect()))
+    plan = postings.search(index, questions, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "gram#" not in plan and "MapInArrow" in plan
+    got = found(postings.search(index, questions, 5))
+    assert got == found(postings.search(index, questions, 5, block=11))
+    for q, words in asked:
+        own = [(k, s) for i, _, k, s in got if i == q]
+        if words and all(words) and " " not in words:
+            from fieldglass.operators import retrieval
+
+            if q % 40 == 0 or q > 502:
+                assert own == [(x.key, x.score) for x in retrieval.bm25(docs, "id", "text", "title", words, 5).collect()]
+    assert [k for q, _, k, _ in got if q == 503] and not [1 for q, *_ in got if q == 501]
