@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
+from .stored import settled
 
 
 class Automaton:
@@ -96,31 +97,96 @@ def first_in_group(texts: DataFrame, key: str, text: str, patterns: DataFrame, p
     return both.select("g", "turn", "place", "t", "key").mapInArrow(run, f"`{key}` {kind.simpleString()}, place long")
 
 
+class Anchors(Automaton):
+    """Texts (place or None if only a beginning, text, sizes of the patterns that begin so) and where a text has beginnings."""
+
+    def __init__(self, anchors):
+        anchors = list(anchors)
+        super().__init__([(i, t) for i, (_, t, _) in enumerate(anchors)])
+        self.place, self.size = [p for p, _, _ in anchors], [len(t) for _, t, _ in anchors]
+        self.sizes = [s or () for _, _, s in anchors]
+        own = {t: i for i, (_, t, _) in enumerate(anchors)}
+        self.here: list[tuple[int, ...]] = [()] * len(self.step)
+        todo = deque([(0, "")])
+        order = []
+        while todo:
+            at, t = todo.popleft()
+            order.append(at)
+            self.here[at] = (own[t],) if t in own else ()
+            todo.extend((to, t + c) for c, to in self.step[at].items())
+        for at in order[1:]:  # shorter ones are whole by now
+            self.here[at] += self.here[self.back[at]]
+
+    def look(self, text: str) -> tuple[int | None, set[str]]:
+        """The least place of an anchor that is a pattern, and the parts of ``text`` that may be longer ones."""
+        step, back, here = self.step, self.back, self.here
+        least, parts, s = None, set(), 0
+        for i in here[0]:
+            least = self.place[i]
+        for at, c in enumerate(text, 1):
+            while s and c not in step[s]:
+                s = back[s]
+            s = step[s].get(c, 0)
+            for i in here[s]:
+                p = self.place[i]
+                if p is not None and (least is None or p < least):
+                    least = p
+                for n in self.sizes[i]:
+                    end = at - self.size[i] + n
+                    if end <= len(text):
+                        parts.add(text[end - n : end])
+        return least, parts
+
+
 def first_of_all(texts: DataFrame, key: str, text: str, patterns: DataFrame, place: str, pattern: str, most: int = 100_000, most_chars: int = 1_000_000) -> DataFrame:
     """(key, place): of each text, the least place of a pattern that it contains; texts without one are left out.
 
-    The patterns are dealt out in pieces of about ``most`` patterns and ``most_chars``
-    characters, each an automaton of its own that is made where it is used; a text
-    goes once through each piece, and one piece is the rule.  NULL texts and patterns
-    match nothing.  Keys need not be unique: each row is a text of its own.
+    Up to ``most`` patterns and ``most_chars`` characters are one automaton.  Of more,
+    the automaton holds their beginnings, as long as fit, and a text goes once through
+    it: where one begins, the parts of the text as long as the patterns that begin so
+    are looked up by an equality join.  NULL texts and patterns match nothing.  Keys
+    need not be unique: each row is a text of its own, but if beginnings are looked
+    up, rows of one key are one text.
     """
     spark = texts.sparkSession
     ship(spark)
     kind = texts.schema[key].dataType
     own = patterns.where(F.col(pattern).isNotNull() & F.col(place).isNotNull()).groupBy(F.col(pattern).alias("t")).agg(F.min(F.col(place).cast("long")).alias("place"))
-    size = own.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("chars")).first()
-    pieces = max(1, -(-size.n // most), -(-size.chars // most_chars))
-    found = None
-    for i in range(pieces):
-        part = own.where(F.pmod(F.xxhash64("t"), F.lit(pieces)) == i).select("place", "t").toArrow()  # the bounded size of a piece
+    sums = [F.count("*").alias("n"), F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("chars")]
+    size = own.agg(*sums).first()
+    fits = lambda x: x.n <= most and x.chars <= most_chars
+    asked = texts.select(F.col(key).alias("key"), F.col(text).alias("t"))
+    if fits(size):
+        part = own.select("place", "t").toArrow()
         sent = spark.sparkContext.broadcast((part.column("place").to_pylist(), part.column("t").to_pylist()))
 
-        def run(batches, sent=sent):
+        def run(batches):
             machine = Automaton(zip(*sent.value))
             for b in batches:
                 at = [None if t is None else machine.first(t) for t in b.column("t").to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(at, pa.int64())], [key, "place"])
 
-        one = texts.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(run, f"`{key}` {kind.simpleString()}, place long").where("place is not null")
-        found = one if found is None else found.unionByName(one)
-    return found if pieces == 1 else found.groupBy(key).agg(F.min("place").alias("place"))
+        return asked.mapInArrow(run, f"`{key}` {kind.simpleString()}, place long").where("place is not null")
+
+    for n in (16, 12, 8, 6, 5, 4, 3, 2, 1):
+        begin = own.groupBy(F.substring("t", 1, n).alias("a")).agg(F.min(F.when(F.length("t") <= n, F.col("place"))).alias("place"), F.collect_set(F.when(F.length("t") > n, F.length("t"))).alias("sizes"))
+        if n == 1 or fits(begin.agg(F.count("*").alias("n"), F.sum(F.length("a")).alias("chars")).first()):
+            break
+    part = begin.toArrow()  # of bounded size
+    sent = spark.sparkContext.broadcast(tuple(part.column(c).to_pylist() for c in ("place", "a", "sizes")))
+
+    def look(batches):
+        machine = Anchors(zip(*sent.value))
+        for b in batches:
+            at, places, parts = [], [], []
+            for i, t in enumerate(b.column("t").to_pylist()):
+                least, found = (None, ()) if t is None else machine.look(t)
+                for p, x in ((least, None),) * (least is not None) + tuple((None, x) for x in found):
+                    at.append(i)
+                    places.append(p)
+                    parts.append(x)
+            yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(at, pa.int32())), pa.array(places, pa.int64()), pa.array(parts, pa.string())], [key, "place", "t"])
+
+    seen = settled(asked.mapInArrow(look, f"`{key}` {kind.simpleString()}, place long, t string"))
+    longer = seen.where("t is not null").select(key, "t").join(own, "t").select(key, "place")
+    return seen.where("place is not null").select(key, "place").unionByName(longer).groupBy(key).agg(F.min("place").alias("place"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldglass import catalog
 from fieldglass.llm import kmeans_tree
-from fieldglass.operators import checks, intervals, postings
+from fieldglass.operators import checks, intervals, patterns, postings
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -119,3 +119,19 @@ def test_batches_are_cut_by_words(monkeypatch):
     sizes = [4, 6, 1, 30, 0, 0, 10, 2, 9]
     cut = [x.column("len0").to_pylist() for x in postings._slices([pa.RecordBatch.from_arrays([pa.array(sizes, pa.int32())], ["len0"])])]
     assert cut == [[4, 6], [1], [30], [0, 0, 10], [2], [9]]
+
+
+def test_texts_are_read_once_whatever_the_patterns(spark):
+    r = random.Random(8)
+    word = lambda least: "".join(r.choice("abé") for _ in range(r.randrange(least, 24)))
+    own = [(i, word(1) if i % 3 else word(1)[:2]) for i in range(300)] + [(400, None), (None, "a"), (500, "abab")]
+    texts = [(i, None if i % 17 == 0 else r.choice(own[:300])[1] * (i % 2) + word(0) + "c" + word(0)[:9]) for i in range(150)] + [(900, ""), (901, "c")]
+    t = spark.createDataFrame(texts, "id long, text string").repartition(3)
+    for more in ([], [(700, "")]):
+        p = spark.createDataFrame(own + more, "place long, name string")
+        known = [(a, n) for a, n in own + more if a is not None and n is not None]
+        want = {i: x for i, text in texts if text is not None and (x := min((a for a, n in known if n in text), default=None)) is not None}
+        for most in (100_000, 120, 20, 3):
+            out = patterns.first_of_all(t, "id", "text", p, "place", "name", most=most)
+            assert {x.id: x.place for x in out.collect()} == want
+            assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= 1
